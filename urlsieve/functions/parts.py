@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from urlsieve.functions.vocab import PARAM_SCHEMES
 
-_BLANK = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]+"
+# Characters Python's str.strip() removes.
+BLANKS = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+          "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 _SCHEME = r"[a-zA-Z][a-zA-Z0-9+.\-]*"
 _SPLIT = rf"(?s)^({_SCHEME})://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
@@ -53,7 +55,7 @@ def parse_urls(df: DataFrame, col: str = "url", into: str = "parts") -> DataFram
     empty; a bad port alone only leaves ``port`` null.
     """
     keep = [c for c in df.columns if c != into]
-    raw = F.regexp_replace(F.coalesce(F.col(col), F.lit("")), rf"^{_BLANK}|{_BLANK}\z", "")
+    raw = F.btrim(F.coalesce(F.col(col), F.lit("")), F.lit(BLANKS))
     step = df.select(*keep, raw.alias("_raw"))
 
     complete = F.when(F.col("_raw").rlike(rf"^{_SCHEME}://"), F.col("_raw")).otherwise(
@@ -77,7 +79,8 @@ def parse_urls(df: DataFrame, col: str = "url", into: str = "parts") -> DataFram
     inside = F.regexp_extract(hostport, r"(?s)^\[([^\]\[]*)\](?::.*)?\z", 1)
     opened, closed = netloc.contains("["), netloc.contains("]")
     literal_ok = inside.rlike(r"(?s)^v[0-9a-fA-F]+[.].+\z") | is_ipv6(inside)
-    bad = (opened != closed) | (opened & closed & ~literal_ok) | netloc.rlike(_UNSAFE_NFKC)
+    not_ascii = F.octet_length(netloc) != F.length(netloc)
+    bad = (opened != closed) | (opened & closed & ~literal_ok) | (not_ascii & netloc.rlike(_UNSAFE_NFKC))
 
     host = F.when(bracketed, F.regexp_extract(hostport, r"(?s)\[([^\]]*)", 1)).otherwise(
         F.substring_index(hostport, ":", 1))

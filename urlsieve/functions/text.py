@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from urlsieve.functions.vocab import MIN_TOKEN_LENGTH
 
+_RUNS = r"(?s)((.)\2*)"
+
 
 def count_of(text: Column, pattern: str) -> Column:
     """Non-overlapping matches of a regular expression."""
@@ -32,7 +34,7 @@ def words_present(text: Column, words) -> Column:
 
 def longest_run(text: Column) -> Column:
     """Length of the longest run of one character."""
-    runs = F.regexp_extract_all(text, F.lit(r"(?s)((.)\2*)"), F.lit(1))
+    runs = F.regexp_extract_all(text, F.lit(_RUNS), F.lit(1))
     return F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0))
 
 
@@ -44,12 +46,16 @@ def same_class_rate(text: Column) -> Column:
 
 
 def shannon_entropy(text: Column) -> Column:
-    """Bits per character; 0 for an empty text."""
+    """Bits per character; 0 for an empty text.
+
+    Sorting the characters turns equal ones into runs, so their counts are run lengths; with counts c and
+    length n the entropy is log2(n) - sum(c * log2(c)) / n.
+    """
     size = F.length(text)
-    chars = F.array_distinct(F.split(text, ""))
-    shares = F.transform(chars, lambda c: (size - F.length(F.replace(text, c, F.lit("")))) / size)
-    bits = F.aggregate(shares, F.lit(0.0), lambda acc, p: acc - p * F.log2(p))
-    return F.when(size > 0, bits).otherwise(F.lit(0.0))
+    ordered = F.array_join(F.sort_array(F.split(text, "")), "")
+    runs = F.regexp_extract_all(ordered, F.lit(_RUNS), F.lit(1))
+    weighted = F.aggregate(runs, F.lit(0.0), lambda acc, r: acc + F.length(r) * F.log2(F.length(r)))
+    return F.when(size > 0, F.log2(size) - weighted / size).otherwise(F.lit(0.0))
 
 
 def edit_distance(a: Column, b: Column, cutoff: int | None = None) -> Column:

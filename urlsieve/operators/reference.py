@@ -11,6 +11,7 @@ from urlsieve.functions import text as T
 from urlsieve.functions import vocab as V
 from urlsieve.functions.features import PREFIX, builtin_brand_distance
 from urlsieve.operators.joins import broadcast_lookup, fits_broadcast, lookup, spread_lookup
+from urlsieve.session import stage_table
 
 
 def reference_ranks(lines: DataFrame) -> DataFrame:
@@ -42,7 +43,6 @@ def tld_shares(lines: DataFrame, n_domains: int | Column) -> DataFrame:
 class ReferenceList:
     """A loaded list: three tables and the sizes measured while loading it."""
 
-    lines: DataFrame
     ranks: DataFrame
     brands: DataFrame
     tlds: DataFrame
@@ -52,23 +52,23 @@ class ReferenceList:
 
 
 def load_reference(lines: DataFrame, brands: int = V.BRAND_LIST_SIZE) -> ReferenceList:
-    """Measure a (rank, domain, line) table and derive its tables; an empty list is an error."""
-    ranks = reference_ranks(lines)
-    # Summed over the distinct domains, so it also bounds the table of their last labels.
-    size = ranks.agg(F.count(F.lit(1)).alias("rows"),
-                     F.coalesce(F.sum(F.octet_length("domain")), F.lit(0)).alias("bytes"),
-                     F.coalesce(F.sum(F.octet_length(F.substring_index("domain", ".", -1))), F.lit(0))
-                     .alias("tld_bytes"),
-                     F.approx_count_distinct(F.substring_index("domain", ".", -1)).alias("tlds")).first()
-    if size["rows"] == 0:
+    """Derive the three tables of a (line, rank, domain) list once, and measure them; empty is an error.
+
+    They are stored in the shared folder, so that every later use is a plain scan.
+    """
+    ranks = stage_table(reference_ranks(lines), "ranks")
+    rows, text = _size(ranks, "domain")
+    if rows == 0:
         raise ValueError("the reference list has no usable 'rank,domain' lines")
-    longest_label = 64
+    tlds = stage_table(tld_shares(lines, F.lit(rows)), "tlds")
     return ReferenceList(
-        lines=lines, ranks=ranks, brands=brand_vocabulary(lines, brands),
-        tlds=tld_shares(lines, F.lit(size["rows"])), n_domains=size["rows"],
-        ranks_small=fits_broadcast(size["rows"], size["bytes"]),
-        tlds_small=fits_broadcast(2 * size["tlds"], 2 * size["tlds"] * longest_label),
-    )
+        ranks=ranks, brands=stage_table(brand_vocabulary(lines, brands), "brands"), tlds=tlds,
+        n_domains=rows, ranks_small=fits_broadcast(rows, text), tlds_small=fits_broadcast(*_size(tlds, "tld")))
+
+
+def _size(df: DataFrame, text: str) -> tuple[int, int]:
+    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    return row[0], row[1]
 
 
 def reference_summary(ref: ReferenceList) -> DataFrame:

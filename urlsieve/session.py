@@ -38,3 +38,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage reliably (survives the loss of executors)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, column-pruned, no lineage to replay."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

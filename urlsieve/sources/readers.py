@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urlsieve.functions.features import FEATURE_NAMES
+from urlsieve.functions.parts import BLANKS
 from urlsieve.operators.shape import distinct_ordered, flip_label, require_columns
 from urlsieve.operators.splits import sample_n
 
-_EDGE_BLANKS = r"^[\s\p{Z}]+|[\s\p{Z}]+\z"
 _CSV = {"header": True, "escape": '"', "multiLine": False, "mode": "PERMISSIVE"}
 
 
@@ -21,7 +21,7 @@ def line_order() -> Column:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_BLANKS, "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def read_labelled_urls(spark: SparkSession, path: str) -> DataFrame:
@@ -61,7 +61,7 @@ def read_external_labelled(spark: SparkSession, path: str, positive: int = 0,
     address is kept once (first row), and ``sample`` keeps that many rows at random.
     """
     raw = spark.read.options(**_CSV).csv(path)
-    raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
+    raw = raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
     require_columns(raw, ["URL", "label"])
     rows = raw.select(line_order().alias("line"), F.col("URL").alias("url"),
                       F.col("label").try_cast("int").alias("label"))
