@@ -248,4 +248,4 @@ INPUTS = ",".join(s.strip() for s in (_CORPUS, _LISTS, _PARSE, _CHARS, _BRANDS,
 
 
 def with_inputs(select: str, *ctes: str) -> str:
-    return "WITH " + ", ".join([INPUTS, *ctes]) + "\n" + select
+    return "WITH RECURSIVE " + ", ".join([INPUTS, *ctes]) + "\n" + select

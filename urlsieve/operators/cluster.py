@@ -42,9 +42,9 @@ def kmeans_fit(z: DataFrame, names, k: int, n_init: int = 10, max_iter: int = 30
 
 
 def assign(model: KMeansModel, z: DataFrame, names) -> DataFrame:
-    """Add ``cluster``."""
+    """Add ``cluster`` (in place of one that is there)."""
     out = model.transform(vectorise(z, names))
-    return out.select(*z.columns, F.col("prediction").alias("cluster"))
+    return out.select(*[c for c in z.columns if c != "cluster"], F.col("prediction").alias("cluster"))
 
 
 def silhouette_points(assigned: DataFrame, names, max_rows: int = SILHOUETTE_SAMPLE) -> DataFrame:
