@@ -18,6 +18,7 @@ def session(cpus: str = "8") -> SparkSession:
             .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
             .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC")
             .config("spark.sql.codegen.hugeMethodLimit", "8000")
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false")
             .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
             .getOrCreate())
 

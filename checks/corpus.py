@@ -76,11 +76,16 @@ def top_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.unionByName(counted).select(F.struct("rank", "domain").alias("line"), "rank", "domain")
 
 
-def reference_list(spark: SparkSession, sf_dir: str) -> ReferenceList:
-    return load_reference(top_sites(spark, sf_dir))
+_loaded: dict = {}
+_stored: dict = {}
 
 
-_stored: dict = {}
+def reference_list(spark: SparkSession, sf_dir: str) -> ReferenceList:
+    """The list, loaded once per session, as it is before any extraction."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        _loaded[key] = load_reference(top_sites(spark, sf_dir))
+    return _loaded[key]
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,6 +178,24 @@ def test_large_lists_take_the_shuffle_path(spark):
     assert small[1].domain_rank_score == pytest.approx(math.log10(7 / 9))
 
 
+def test_many_near_hosts_take_the_shuffle_path(spark, monkeypatch):
+    from dataclasses import replace
+
+    from urlsieve.operators import reference as R
+    from urlsieve.plans import feature_table as P
+    ref = reference(spark)
+    df = spark.range(900).selectExpr(
+        "id AS row_id", "concat(IF(id % 3 = 0, 'http://g00gle.com/', concat('http://h', id, '.paypa1.org/')), id) AS url")
+    small = url_feature_table(df, ref)
+    monkeypatch.setattr(P, "near_hosts", lambda *a: replace(R.near_hosts(*a), small=False))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    large = url_feature_table(df, ref)
+    assert "Exchange hashpartitioning(_light_key" in large._jdf.queryExecution().executedPlan().toString()
+    assert small.exceptAll(large).count() == 0 and large.count() == 900
+    assert {r.min_brand_edit_distance for r in large.collect()} == {1, 2}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_first_row_of_an_address_survives(spark):
     rows = [(5, "http://a.com", "benign"), (2, "http://a.com", "phishing"), (9, "http://b.com", "malware")]
     df = spark.createDataFrame(rows, "row_id long, url string, type string")

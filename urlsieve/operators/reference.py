@@ -11,7 +11,7 @@ from urlsieve.functions import text as T
 from urlsieve.functions import vocab as V
 from urlsieve.functions.features import PREFIX, builtin_brand_distance
 from urlsieve.operators.joins import broadcast_lookup, fits_broadcast, lookup, spread_lookup
-from urlsieve.session import stage_table
+from urlsieve.session import stage_measured, stage_table
 
 
 def reference_ranks(lines: DataFrame) -> DataFrame:
@@ -56,19 +56,13 @@ def load_reference(lines: DataFrame, brands: int = V.BRAND_LIST_SIZE) -> Referen
 
     They are stored in the shared folder, so that every later use is a plain scan.
     """
-    ranks = stage_table(reference_ranks(lines), "ranks")
-    rows, text = _size(ranks, "domain")
+    ranks, rows, text = stage_measured(reference_ranks(lines), "ranks", "domain")
     if rows == 0:
         raise ValueError("the reference list has no usable 'rank,domain' lines")
-    tlds = stage_table(tld_shares(lines, F.lit(rows)), "tlds")
+    tlds, n_tlds, tld_text = stage_measured(tld_shares(lines, F.lit(rows)), "tlds", "tld")
     return ReferenceList(
-        ranks=ranks, brands=stage_table(brand_vocabulary(lines, brands), "brands"), tlds=tlds,
-        n_domains=rows, ranks_small=fits_broadcast(rows, text), tlds_small=fits_broadcast(*_size(tlds, "tld")))
-
-
-def _size(df: DataFrame, text: str) -> tuple[int, int]:
-    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
-    return row[0], row[1]
+        ranks=ranks, brands=stage_table(brand_vocabulary(lines, brands), "brands"), tlds=tlds, n_domains=rows,
+        ranks_small=fits_broadcast(rows, text), tlds_small=fits_broadcast(n_tlds, tld_text))
 
 
 def reference_summary(ref: ReferenceList) -> DataFrame:
@@ -114,25 +108,25 @@ def known_brand(df: DataFrame, ref: ReferenceList | None, domain: str = PREFIX +
     return joined.withColumn("_known_brand", F.coalesce("_hit", F.lit(0))).drop("_name", "_hit")
 
 
-def brand_proximity(df: DataFrame, ref: ReferenceList | None, host: str = PREFIX + "host",
-                    cutoff: int = V.BRAND_CUTOFF, spread_by: str = "url",
-                    hosts: DataFrame | None = None) -> DataFrame:
-    """Add ``_brand_distance``: least edit distance of any word of the host to a brand, 99 when none is near.
+@dataclass(frozen=True)
+class NearHosts:
+    """Hosts with a word near some brand: host, distance; and how often every host occurs."""
 
-    With a list, only distances up to ``cutoff`` count and words under five characters are left out.
-    Hosts repeat far more than addresses, so the comparison runs once per distinct host: its words meet the
-    brands of nearly their length through a broadcast equi-join, and the minimum is taken in the partition
-    the host already is in. Only hosts near some brand go back to the addresses. ``hosts`` may be another
-    table with the same hosts that is cheaper to read (such as the one before duplicate removal).
+    table: DataFrame
+    small: bool
+    counts: DataFrame
+
+
+def near_hosts(df: DataFrame, ref: ReferenceList, host: str = PREFIX + "host",
+               cutoff: int = V.BRAND_CUTOFF) -> NearHosts:
+    """Compare the words of every distinct host with the brands, once, and store the few that are near.
+
+    Hosts repeat far more than addresses. Their words meet the brands of nearly their length through a
+    broadcast equi-join, and the minimum is taken in the partition the host already is in.
     """
-    none = F.lit(V.NO_BRAND_DISTANCE)
-    if ref is None:
-        return df.withColumn("_brand_distance", builtin_brand_distance(F.col(host)))
     brands = ref.brands.select("brand", "length")
-    counts = (df if hosts is None else hosts).groupBy(host).count()
-    # The count is read here only so that this use and the one in the lookup share one exchange.
-    words = (counts.where(F.col("count") > 0)
-             .select(host, F.explode(F.array_distinct(
+    counts = df.groupBy(host).count()
+    words = (counts.select(host, F.explode(F.array_distinct(
                  T.host_tokens(F.col(host), V.MIN_BRAND_LENGTH))).alias("_word"))
              .select(host, "_word", F.explode(F.sequence(
                  F.length("_word") - cutoff, F.length("_word") + cutoff)).alias("length")))
@@ -140,5 +134,22 @@ def brand_proximity(df: DataFrame, ref: ReferenceList | None, host: str = PREFIX
             .select(host, T.edit_distance(F.col("_word"), F.col("brand"), cutoff).alias("_d"))
             .where(F.col("_d").isNotNull())
             .groupBy(host).agg(F.min("_d").alias("_brand_distance")))
-    joined = spread_lookup(df, near, host, spread_by, counts)
-    return joined.withColumn("_brand_distance", F.coalesce("_brand_distance", none))
+    stored, rows, text = stage_measured(near, "near-hosts", host)
+    return NearHosts(stored, fits_broadcast(rows, text), counts)
+
+
+def brand_proximity(df: DataFrame, ref: ReferenceList | None, host: str = PREFIX + "host",
+                    spread_by: str = "url", near: NearHosts | None = None) -> DataFrame:
+    """Add ``_brand_distance``: least edit distance of any word of the host to a brand, 99 when none is near.
+
+    With a list, only distances up to 2 count and words under five characters are left out. Addresses are
+    shuffled only when the hosts near a brand are too many to broadcast.
+    """
+    if ref is None:
+        return df.withColumn("_brand_distance", builtin_brand_distance(F.col(host)))
+    near = near_hosts(df, ref, host) if near is None else near
+    if near.small:
+        joined = broadcast_lookup(df, near.table, host)
+    else:
+        joined = spread_lookup(df, near.table, host, spread_by, near.counts)
+    return joined.withColumn("_brand_distance", F.coalesce("_brand_distance", F.lit(V.NO_BRAND_DISTANCE)))

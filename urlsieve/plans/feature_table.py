@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from urlsieve.functions.features import DOUBLE_FEATURES, FEATURES, PREFIX, row_parts, with_parts
 from urlsieve.operators.reference import (ReferenceList, brand_proximity, domain_rank_lookup,
-                                          known_brand, tld_share_lookup)
+                                          known_brand, near_hosts, tld_share_lookup)
 from urlsieve.operators.shape import binary_label, dedupe_urls
 
 _LOOKUPS = {
@@ -26,21 +26,23 @@ def url_feature_table(df: DataFrame, reference: ReferenceList | None = None, col
     """The columns of ``df`` followed by the features, in contract order.
 
     Without a reference list the rank and share features are 0 and brands come from the built-in list; the
-    whole plan is then one narrow projection. With one, rank, share and brand lookups are joins. The brand
-    distance is the only one that may shuffle the addresses, so it runs first, while rows are still narrow.
-    ``hosts_from`` may name a table with the same addresses that is cheaper to read.
+    whole plan is then one narrow projection. With one, rank, share and brand lookups are joins: broadcasts
+    while the lists fit. When the hosts near a brand do not fit, that join shuffles the addresses and so runs
+    first, while rows are still narrow. ``hosts_from`` may name a table with the same addresses that is cheaper to read.
     """
     features = FEATURES if features is None else features
     keep = df.columns
-    step = df
-    near = any(n in features for n in _DISTANCE)
-    if near and reference is not None:
-        hosts = None if hosts_from is None else _hosts(hosts_from.select(col), col)
-        step = brand_proximity(_hosts(df, col), reference, hosts=hosts, spread_by=col)
-        step = step.select(*keep, "_brand_distance")
-    step = with_parts(step, col)
-    if near and reference is None:
-        step = brand_proximity(step, None)
+    with_distance = any(n in features for n in _DISTANCE)
+    near = None
+    if with_distance and reference is not None:
+        near = near_hosts(_hosts((df if hosts_from is None else hosts_from).select(col), col), reference)
+    if near is not None and not near.small:
+        narrow = brand_proximity(_hosts(df, col), reference, spread_by=col, near=near)
+        step = with_parts(narrow.select(*keep, "_brand_distance"), col)
+    else:
+        step = with_parts(df, col)
+        if with_distance:
+            step = brand_proximity(step, reference, spread_by=col, near=near)
     for add, names in _LOOKUPS.items():
         if any(n in features for n in names):
             step = add(step, reference)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -18,9 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="urlsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="urlsieve-")
+    return _local_dirs[app]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -44,4 +48,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, column-pruned, no lineage to replay."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_measured(df: DataFrame, name: str, text: str) -> tuple[DataFrame, int, int]:
+    """``stage_table``, with the rows and the bytes of one text column counted during the write."""
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text)).alias("bytes"))
+    table = stage_table(watched, name)
+    return table, seen.get["rows"], seen.get["bytes"] or 0
