@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
@@ -52,8 +52,11 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage_measured(df: DataFrame, name: str, text: str) -> tuple[DataFrame, int, int]:
-    """``stage_table``, with the rows and the bytes of one text column counted during the write."""
-    seen = Observation()
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text)).alias("bytes"))
-    table = stage_table(watched, name)
-    return table, seen.get["rows"], seen.get["bytes"] or 0
+    """``stage_table``, with its rows and the bytes of one text column, counted from what was written.
+
+    Not counted with an ``Observation`` during the write: a session that has used one can no longer be
+    serialised, and fitted MLlib models carry their session.
+    """
+    table = stage_table(df, name)
+    row = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    return table, row[0], row[1]
