@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe
+from urlsieve.llm import bpe, toolcalls, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,47 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, h, strlen(h) AS b, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(b AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN b >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN b >= 1000 AND top <> page_id THEN top END AS refers_to
+FROM g""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back through the verified chain of records."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+TOOLS = {"search": {"limit": ("integer", True), "query": ("string", True)},
+         "convert": {"amount": ("number", True), "text": ("string", False)}}
+
+
+@query("""
+WITH calls AS (SELECT conv_id, turn, text, CASE WHEN turn % 3 = 0 THEN 'convert' WHEN turn % 11 = 10 THEN 'lookup' ELSE 'search' END AS name,
+    'c' || conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'assistant'),
+args AS (SELECT *, CASE name WHEN 'convert' THEN '{"amount":' || length(text) || '.5,"text":' || to_json(text) || '}'
+    ELSE '{"limit":' || CASE WHEN turn % 5 = 4 THEN '"' || turn || '"' ELSE turn::VARCHAR END || ',"query":' || to_json(text) || '}' END AS a FROM calls),
+res AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content FROM conversations WHERE role = 'user' GROUP BY ALL),
+runs AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM (SELECT DISTINCT conv_id, turn FROM calls)),
+d AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS depth FROM runs)
+SELECT a.conv_id, a.call_id, CAST(d.depth AS BIGINT) AS depth, a.name,
+  CASE WHEN a.name = 'lookup' THEN 'unknown tool' WHEN a.name = 'search' AND a.turn % 5 = 4 THEN 'type:limit' ELSE '' END AS problems,
+  '{"arguments":' || a.a || ',"id":"' || a.call_id || '","name":"' || a.name || '","result":' || coalesce(to_json(res.content)::VARCHAR, 'null') || '}' AS json
+FROM args a JOIN d USING (conv_id, turn) LEFT JOIN res USING (conv_id, turn)""")
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every assistant turn as a call that builds on the one two turns before, the user's answer as its result."""
+    turns = table(spark, sf_dir, "conversations")
+    name_id = lambda turn: F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), turn)
+    turn, text = F.col("turn"), F.col("text")
+    name = F.when(turn % 3 == 0, "convert").when(turn % 11 == 10, "lookup").otherwise("search")
+    limit = F.when(turn % 5 == 4, F.concat(F.lit('"'), turn, F.lit('"'))).otherwise(turn.cast("string"))
+    quoted = F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
+    arguments = F.when(name == "convert", F.concat(F.lit('{ "text" : '), quoted, F.lit(', "amount" : '), F.length(text), F.lit(".5}"))) \
+        .otherwise(F.concat(F.lit('{"query":'), quoted, F.lit(' ,"limit": '), limit, F.lit("}")))
+    calls = turns.filter("role = 'assistant'").select(
+        "conv_id", name_id(turn).alias("call_id"), name.alias("name"), arguments.alias("arguments"), name_id(turn - 2).alias("parent_id"))
+    results = turns.filter("role = 'user'").select(name_id(turn - 1).alias("call_id"), text.alias("content"))
+    return toolcalls.link_calls(calls, results, TOOLS)
