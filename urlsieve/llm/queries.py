@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, toolcalls, warc
+from urlsieve.llm import bpe, quality, toolcalls, warc
+from urlsieve.session import stage_table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -78,3 +79,23 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", name_id(turn).alias("call_id"), name.alias("name"), arguments.alias("arguments"), name_id(turn - 2).alias("parent_id"))
     results = turns.filter("role = 'user'").select(name_id(turn - 1).alias("call_id"), text.alias("content"))
     return toolcalls.link_calls(calls, results, TOOLS)
+
+
+def held_out(modulus: int):
+    """crc32 of the identifier as text leaves remainder 2: never learnt from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == 2
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> tuple[DataFrame, quality.Rules]:
+    """Statistics of all documents, written once, and the rules learnt from those labelled and not held out."""
+    stats = stage_table(quality.text_stats(docs.select("doc_id", "text")).drop("text"), "text-stats")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    return stats, quality.fit_rules(stats.filter(~held_out(4)).join(labels, "doc_id"))
+
+
+@query()
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text; the rules see statistics of the text only."""
+    stats, rules = quality_rules(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return stats.select("doc_id", F.coalesce(held_out(4), F.lit(False)).alias("held_out"), rules.score().alias("score")) \
+        .withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
