@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, quality, toolcalls, warc
+from urlsieve.llm import bpe, pii, quality, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -99,3 +99,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats, rules = quality_rules(spark, table(spark, sf_dir, "documents"), sf_dir)
     return stats.select("doc_id", F.coalesce(held_out(4), F.lit(False)).alias("held_out"), rules.score().alias("score")) \
         .withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans by kind, their digest, and all spans; the counts are those of the base spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.fit_trees(docs))
+    count = lambda i: F.size(F.filter("base_spans", lambda s: s["kind"] == i)).cast("long")
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+                        F.sha2(pii.written("base_spans").cast("binary"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
