@@ -17,11 +17,21 @@ MAGIC = "WARC/1.0\r\n"
 BREAK = "\r\n\r\n"
 
 
+#: A side of so many rows of a few numbers and a digest (some 20 MB) is broadcast; a larger one is shuffled.
+NARROW_ROWS = 200_000
+
+
+def join_narrow(left: DataFrame, narrow: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join to rows of a few short columns: they are written and counted, and broadcast only below NARROW_ROWS."""
+    narrow = stage_table(narrow, "narrow")
+    return left.join(F.broadcast(narrow) if narrow.count() <= NARROW_ROWS else narrow, on, how)
+
+
 def plan_records(pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 1000) -> DataFrame:
     """(key, url, payload, digest, refers_to): of equal payloads of at least ``least`` bytes the largest key holds the payload.
 
-    Null payloads count as empty. The repeated digests are few columns wide, summed map-side; a payload that a
-    third of the rows share is one row there, and the join splits its many rows (AQE).
+    Null payloads count as empty. Only digests that repeat are looked up, one row each however many pages share
+    one; beyond NARROW_ROWS of them the pages are shuffled and AQE splits a hot digest.
     """
     url = pages["url"] if "url" in pages.columns else F.lit(None).cast("string")
     rows = pages.select(pages[key].alias("key"), url.alias("url"), F.coalesce(pages[payload], F.lit("")).alias("payload"))
@@ -29,7 +39,7 @@ def plan_records(pages: DataFrame, key: str = "page_id", payload: str = "html",
     kept = (rows.filter(F.octet_length("payload") >= least).groupBy("digest")
             .agg(F.max("key").alias("first_key"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     other = F.col("first_key") != F.col("key")
-    return (rows.join(kept, "digest", "left")
+    return (join_narrow(rows, kept, "digest", "left")
             .select("key", "url", "payload", "digest", F.when(other, F.col("first_key")).alias("refers_to")))
 
 
@@ -121,7 +131,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     plain = true.filter("whole").select("key", "record_type", "refers_to", "digest", "length", "sha1")
     spans = true.filter("not whole").select("file", F.col("off").alias("start"), "next", "skip", "length", "key",
                                             "record_type", "refers_to", "digest")
-    inner = nodes.select("file", "off", "seq").join(spans, "file").filter("off >= start and off < next").join(values, "seq")
+    inner = nodes.select("file", "off", "seq").join(spans, "file").filter("off >= start and off < next")
+    inner = join_narrow(values, inner, "seq")
     joined = (inner.groupBy("file", "start", "skip", "length", "key", "record_type", "refers_to", "digest")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "value"))), lambda x: x["value"]), MAGIC).alias("text")))
     body = F.substring(F.col("text").cast("binary"), F.col("skip") + 1, F.col("length").cast("int"))
@@ -131,10 +142,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """payload_bytes and payload_digest of the full payload: a revisit takes them from the record it refers to."""
-    held = (records.filter("record_type = 'response'").groupBy(F.col("key").alias("refers_to"))
-            .agg(F.max_by("payload_bytes", "payload_bytes").alias("full_bytes"), F.max_by("payload_sha1", "payload_bytes").alias("full_sha1")))
+    records = stage_table(records, "warc-records")
+    wanted = records.select("refers_to").filter("refers_to is not null").distinct()
+    held = (join_narrow(records.filter("record_type = 'response'").drop("refers_to").withColumnRenamed("key", "refers_to"), wanted, "refers_to")
+            .groupBy("refers_to").agg(F.max_by("payload_bytes", "payload_bytes").alias("full_bytes"), F.max_by("payload_sha1", "payload_bytes").alias("full_sha1")))
     again = F.col("record_type") == "revisit"
-    return records.join(held, "refers_to", "left").select(
+    return join_narrow(records, held, "refers_to", "left").select(
         "key", F.when(again, F.col("full_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(again, F.col("full_sha1")).otherwise(F.col("payload_sha1")).alias("payload_digest"), "record_type", "refers_to")
 
