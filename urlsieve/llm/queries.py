@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, pii, quality, toolcalls, warc
+from urlsieve.llm import bpe, jaccard, pii, quality, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -109,3 +109,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda i: F.size(F.filter("base_spans", lambda s: s["kind"] == i)).cast("long")
     return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
                         F.sha2(pii.written("base_spans").cast("binary"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
+
+
+@query()
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by shingles of five words at a similarity of 0.75 or more."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))

@@ -11,22 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from urlsieve.llm.narrow import join_narrow
 from urlsieve.session import scratch_path, stage_table
 
 MAGIC = "WARC/1.0\r\n"
 BREAK = "\r\n\r\n"
 
 
-#: A side of so many rows of a few numbers and a digest (some 20 MB) is broadcast; a larger one is shuffled.
-NARROW_ROWS = 200_000
-
-
-def join_narrow(left: DataFrame, narrow: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join to rows of a few short columns: they are written and counted, and broadcast only below NARROW_ROWS."""
-    narrow = stage_table(narrow, "narrow")
-    return left.join(F.broadcast(narrow) if narrow.count() <= NARROW_ROWS else narrow, on, how)
-
-
 def plan_records(pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 1000) -> DataFrame:
     """(key, url, payload, digest, refers_to): of equal payloads of at least ``least`` bytes the largest key holds the payload.
 
@@ -131,7 +122,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     plain = true.filter("whole").select("key", "record_type", "refers_to", "digest", "length", "sha1")
     spans = true.filter("not whole").select("file", F.col("off").alias("start"), "next", "skip", "length", "key",
                                             "record_type", "refers_to", "digest")
-    inner = nodes.select("file", "off", "seq").join(spans, "file").filter("off >= start and off < next")
+    held = nodes.select("file", "off", "seq").join(reach.withColumn("start", F.col("off")), ["file", "off"], "left")
+    upto = Window.partitionBy("file").orderBy("off")
+    held = held.withColumn("start", F.last("start", ignorenulls=True).over(upto))
+    inner = join_narrow(held, spans, ["file", "start"])
     inner = join_narrow(values, inner, "seq")
     joined = (inner.groupBy("file", "start", "skip", "length", "key", "record_type", "refers_to", "digest")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("off", "value"))), lambda x: x["value"]), MAGIC).alias("text")))
