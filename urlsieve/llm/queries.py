@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, jaccard, pii, quality, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, pii, quality, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -115,3 +115,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by shingles of five words at a similarity of 0.75 or more."""
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with copies of benchmark items, exact or edited, and how well each aligns."""
+    return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
