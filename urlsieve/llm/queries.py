@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, decontaminate, jaccard, pii, quality, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, neighbours, pii, quality, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -121,3 +121,9 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with copies of benchmark items, exact or edited, and how well each aligns."""
     return decontaminate.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors by cosine to every fiftieth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
