@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, decontaminate, jaccard, neighbours, pii, quality, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, neighbours, pii, quality, repeats, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -127,3 +127,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors by cosine to every fiftieth one."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that also start elsewhere."""
+    found = repeats.repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
