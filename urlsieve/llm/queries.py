@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, decontaminate, jaccard, neighbours, pii, quality, repeats, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repeats, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -134,3 +134,10 @@ def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without the 400-byte strings that also start elsewhere."""
     found = repeats.repeated_spans(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's log-probability under the attention model and under the word unigrams of the training rows."""
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), ~held_out(7), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return scored.withColumn("held_out", F.coalesce(held_out(7), F.lit(False))).drop("learnt_from")
