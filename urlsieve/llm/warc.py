@@ -16,6 +16,7 @@ from urlsieve.session import scratch_path, stage_table
 
 MAGIC = "WARC/1.0\r\n"
 BREAK = "\r\n\r\n"
+FILE_RECORDS = 20_000
 
 
 def plan_records(pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 1000) -> DataFrame:
@@ -39,8 +40,11 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """One record per row into text files under ``path``; the writer's line end is the last byte of a record."""
+def write_archives(records: DataFrame, path: str, compression: str = "gzip") -> None:
+    """One record per row into text files under ``path``; the writer's line end is the last byte of a record.
+
+    Files hold at most FILE_RECORDS records. Compressed files are read whole by one task, others in blocks.
+    """
     again = F.col("refers_to").isNotNull()
     body = F.when(again, F.lit("")).otherwise(F.col("payload"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
@@ -50,7 +54,7 @@ def write_archives(records: DataFrame, path: str) -> None:
         _line("WARC-Record-ID", urn(F.col("key"))), _line("WARC-Refers-To", urn(F.col("refers_to"))),
         _line("WARC-Target-URI", safe), _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         _line("Content-Length", F.octet_length(body).cast("string")), F.lit("\r\n"), body, F.lit("\r\n\r"))
-    records.select(record.alias("value")).write.text(path)
+    records.select(record.alias("value")).write.option("maxRecordsPerFile", FILE_RECORDS).text(path, compression=compression)
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -146,9 +150,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.when(again, F.col("full_sha1")).otherwise(F.col("payload_sha1")).alias("payload_digest"), "record_type", "refers_to")
 
 
-def round_trip(pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 1000) -> DataFrame:
+def round_trip(pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 1000, compression: str = "gzip") -> DataFrame:
     """Archives of all pages written to the shared folder and read back."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
-    write_archives(plan_records(pages, key, payload, least), path)
+    write_archives(plan_records(pages, key, payload, least), path, compression)
     return resolve_revisits(read_archives(spark, path)).withColumnRenamed("key", key)
