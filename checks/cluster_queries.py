@@ -116,7 +116,7 @@ sil AS (SELECT id, own, CASE WHEN a IS NULL THEN CAST(0 AS DOUBLE) WHEN greatest
 
 @query("SELECT round(avg(s), 6) AS silhouette, count(*) AS n FROM sil", _SIL)
 def silhouette_sample(spark, sf_dir):
-    return rounded(C.silhouette_sample(z_scores(spark, sf_dir), NAMES))
+    return rounded(C.silhouette_sample(z_scores(spark, sf_dir), NAMES, C.SILHOUETTE_SAMPLE))
 
 
 @query("SELECT row_id, own AS cluster, round(s, 6) AS s FROM sil JOIN mal ON row_id = id", _SIL)
@@ -173,7 +173,7 @@ def dbscan(spark, sf_dir):
 @query("""SELECT eps, count(DISTINCT label) FILTER (core) AS clusters, round(count(*) FILTER (label IS NULL) / CAST(count(*) AS DOUBLE), 6) AS noise_share
   FROM lab GROUP BY eps""", _dbscan_sql(C.EPS_SWEEP))
 def dbscan_sweep(spark, sf_dir):
-    return rounded(C.dbscan_sweep(z_scores(spark, sf_dir), NAMES))
+    return rounded(C.dbscan_sweep(z_scores(spark, sf_dir), NAMES, n=C.DBSCAN_SAMPLE))
 
 
 # ---- fitted, rows only

@@ -78,7 +78,7 @@ def write_feature_table(spark, sf_dir):
     path = scratch_path(spark, "features-csv")
     writers.write_feature_table(
         build_feature_table(url_corpus(spark, sf_dir), reference_list(spark, sf_dir)), path, fmt="csv")
-    back = spark.read.option("header", True).csv(path)
+    back = spark.read.options(**readers.CSV).csv(path)
     return rounded(back.select("url", "type", F.col("label").cast("int").alias("label"),
                                *[F.col(n).cast("int").alias(n) for n in FEATURE_NAMES[:4]],
                                *[F.col(n).cast("double").alias(n) for n in ("entropy_url", "domain_rank_score")]))
@@ -88,7 +88,7 @@ def write_feature_table(spark, sf_dir):
 def write_report(spark, sf_dir):
     path = scratch_path(spark, "report")
     writers.write_report(stored_features(spark, sf_dir).groupBy("type").agg(F.count(F.lit(1)).alias("n")), path)
-    return spark.read.schema("type string, n bigint").option("header", True).csv(path)
+    return spark.read.schema("type string, n bigint").options(**readers.CSV).csv(path)
 
 
 @query("SELECT row_id, url, type, label, score, prediction FROM scored_a WHERE label = 1 AND prediction = 0")
@@ -104,4 +104,4 @@ def write_error_rows(spark, sf_dir):
 def write_scored(spark, sf_dir):
     path = scratch_path(spark, "scored")
     writers.write_scored(verdict(trust_score(scored(spark, sf_dir, "a"))), path)
-    return spark.read.schema("url string, trust_score double, verdict string").option("header", True).csv(path)
+    return spark.read.schema("url string, trust_score double, verdict string").options(**readers.CSV).csv(path)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-URL_TYPES = ("benign", "defacement", "malware", "phishing")
-
 
 def count_if(condition: Column) -> Column:
     return F.coalesce(F.sum(condition.cast("bigint")), F.lit(0))
@@ -68,16 +66,23 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return sizes.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
-def label_composition(assigned: DataFrame, types=URL_TYPES) -> DataFrame:
-    """cluster, type, share of the type in the cluster, share in all rows. Absent pairs have share 0."""
-    counts = assigned.groupBy("cluster").agg(
-        *[count_if(F.col("type") == t).alias(t) for t in types])
-    long = counts.unpivot(["cluster"], list(types), "type", "n")
-    in_cluster = F.sum("n").over(Window.partitionBy("cluster"))
-    of_type = F.sum("n").over(Window.partitionBy("type"))
-    out = long.select("cluster", "type", "n", (F.col("n") / in_cluster).alias("share"),
-                      (of_type / F.sum("n").over(Window.partitionBy())).alias("overall_share"))
-    return out.where(F.col("overall_share") > 0)
+def label_composition(assigned: DataFrame) -> DataFrame:
+    """cluster, type, share of the type in the cluster, share in all rows. Absent pairs have share 0.
+
+    Any type counts, a missing one too. After the first aggregate a row is left per pair of cluster and type.
+    """
+    counts = assigned.groupBy("cluster", "type").agg(F.count(F.lit(1)).alias("n"))
+    seen = counts.groupBy("type").agg(F.sum("n").alias("_of_type"))
+    types = seen.agg(F.collect_list(F.struct("type", "_of_type")).alias("_types"), F.sum("_of_type").alias("_all"))
+    clusters = counts.groupBy("cluster").agg(F.sum("n").alias("_in_cluster"))
+    pairs = (clusters.withColumn("_one", F.lit(1)).join(F.broadcast(types.withColumn("_one", F.lit(1))), "_one")
+             .select("cluster", "_in_cluster", "_all", F.explode("_types").alias("_t"))
+             .select("cluster", F.col("_t.type").alias("type"), "_in_cluster", "_all", "_t._of_type"))
+    have = counts.select(F.col("cluster").alias("_c"), F.col("type").alias("_k"), "n")
+    out = pairs.join(have, F.col("cluster").eqNullSafe(F.col("_c")) & F.col("type").eqNullSafe(F.col("_k")), "left")
+    n = F.coalesce("n", F.lit(0))
+    return out.select("cluster", "type", n.alias("n"), (n / F.col("_in_cluster")).alias("share"),
+                      (F.col("_of_type") / F.col("_all")).alias("overall_share"))
 
 
 def feature_moments(df: DataFrame, names) -> DataFrame:

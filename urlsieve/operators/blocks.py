@@ -39,11 +39,19 @@ def block_pairs(points: DataFrame, carry, width: float | None = None,
                       F.flatten("r.vec").alias("vec"), F.col("r.id").alias("id"),
                       *[F.col(f"r.{c}").alias(c) for c in carry]))
     cols = ["id", "vec", *carry]
-    left = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols],
-                         F.explode(F.array(*[F.col("_bin") + d for d in ((-1, 0, 1) if width else (0,))]))
-                         .alias("_bin"))
-    right = blocks.select("_bin", F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    return left.join(right, "_bin").drop("_bin")
+    # pairs of block names come from the small table of bins; each side then meets its name in an equi-join
+    counts = sizes.select("_bin", F.col("_blocks").cast("bigint").alias("_n"))
+    if width is None:
+        near = counts.select("_bin", "_n", F.col("_bin").alias("_other"), F.col("_n").alias("_m"))
+    else:
+        near = (counts.select("_bin", "_n", F.explode(F.array(*[F.col("_bin") + d for d in (-1, 0, 1)])).alias("_other"))
+                .join(counts.select(F.col("_bin").alias("_other"), F.col("_n").alias("_m")), "_other"))
+    named = near.select("_bin", "_other", "_m", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("_x"))
+    named = named.select("_bin", "_other", "_x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1)).alias("_y"))
+    named = named.select(F.concat_ws("/", "_bin", "_x").alias("a"), F.concat_ws("/", "_other", "_y").alias("b"))
+    left = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
+    right = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
+    return named.join(left, "a").join(right, "b")
 
 
 def distances(vec_a: np.ndarray, n_a: int, vec_b: np.ndarray, n_b: int) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -19,7 +20,6 @@ SEED = 42
 K_RANGE = tuple(range(2, 9))
 SILHOUETTE_SAMPLE = 20_000
 DBSCAN_SAMPLE = 30_000
-PCA_SAMPLE = 25_000
 EPS_SWEEP = (1.5, 2.5, 3.5, 5.0)
 MIN_POINTS = 10
 MIN_CLUSTER_SHARE = 0.01
@@ -50,7 +50,8 @@ def assign(model: KMeansModel, z: DataFrame, names) -> DataFrame:
 def silhouette_points(assigned: DataFrame, names, max_rows: int = SILHOUETTE_SAMPLE) -> DataFrame:
     """id, cluster, s: the Euclidean silhouette of each row against all other rows given.
 
-    ``assigned`` has row_id, cluster and the (standardised) features, at most ``max_rows`` rows.
+    ``assigned`` has row_id, cluster and the (standardised) features. Work grows with the square of the rows;
+    ``max_rows`` only sizes the tasks. For large tables use ``silhouette_linear``.
     """
     points = assigned.select(F.col("row_id").alias("id"), F.col("cluster").cast("int").alias("cluster"),
                              F.array(*[F.col(n).cast("double") for n in names]).alias("vec"))
@@ -77,23 +78,32 @@ def silhouette_points(assigned: DataFrame, names, max_rows: int = SILHOUETTE_SAM
                        .alias("s"))
 
 
-def silhouette_sample(assigned: DataFrame, names, n: int = SILHOUETTE_SAMPLE, seed: int = SEED) -> DataFrame:
-    """One row: mean silhouette of at most ``n`` rows, each against the others in the sample."""
+def silhouette_linear(assigned: DataFrame, names) -> float:
+    """Mean silhouette over all rows by squared distances, from sums and squared norms per cluster (one pass)."""
+    data = vectorise(assigned, names).select("features", F.col("cluster").cast("int").alias("prediction"))
+    return ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(data)
+
+
+def silhouette_sample(assigned: DataFrame, names, n: int, seed: int = SEED) -> DataFrame:
+    """One row: mean silhouette of at most ``n`` rows, each against the others in the sample; ``n`` in the result is what was used."""
     sample = sample_n(assigned, n, seed=seed)
     return silhouette_points(sample, names, n).agg(F.avg("s").alias("silhouette"),
                                                    F.count(F.lit(1)).alias("n"))
 
 
 def choose_k(z: DataFrame, names, ks=K_RANGE, n_init: int = 10, max_iter: int = 300,
-             sample: int = SILHOUETTE_SAMPLE, seed: int = SEED) -> DataFrame:
-    """k, inertia, silhouette, min_share: one row per candidate."""
+             sample: int | None = None, seed: int = SEED) -> DataFrame:
+    """k, inertia, silhouette, min_share: one row per candidate.
+
+    The silhouette is the linear one over all rows, or the Euclidean one on ``sample`` rows where that is asked for.
+    """
     spark = z.sparkSession
     rows = []
     for k in ks:
         model = kmeans_fit(z, names, k, n_init, max_iter, seed)
         assigned = assign(model, z, names)
         smallest = min(model.summary.clusterSizes) / sum(model.summary.clusterSizes)
-        sil = silhouette_sample(assigned, names, sample, seed).first()["silhouette"]
+        sil = silhouette_linear(assigned, names) if sample is None else silhouette_sample(assigned, names, sample, seed).first()["silhouette"]
         rows.append((k, float(model.summary.trainingCost), sil, smallest))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double, min_share double")
 
@@ -273,8 +283,8 @@ def dbscan(z: DataFrame, names, eps: float, min_points: int = MIN_POINTS,
 
 
 def dbscan_sweep(z: DataFrame, names, eps_values=EPS_SWEEP, min_points: int = MIN_POINTS,
-                 n: int = DBSCAN_SAMPLE, seed: int = SEED) -> DataFrame:
-    """eps, clusters, noise_share on at most ``n`` rows."""
+                 *, n: int, seed: int = SEED) -> DataFrame:
+    """eps, clusters, noise_share on at most ``n`` rows (the caller states how many)."""
     sample = sample_n(z, n, seed=seed)
     found = dbscan_points(_points(sample, names), eps_values, min_points, n)
     return found.groupBy("eps").agg(
@@ -283,12 +293,12 @@ def dbscan_sweep(z: DataFrame, names, eps_values=EPS_SWEEP, min_points: int = MI
          / F.sum("weight")).alias("noise_share"))
 
 
-def pca_project(z: DataFrame, names, k: int = 2, n: int = PCA_SAMPLE, seed: int = SEED):
-    """(row_id, pc1..pck) of at most ``n`` rows and (component, variance_share). Columns must be centred."""
-    sample = vectorise(sample_n(z, n, seed=seed), names)
-    model = PCA(k=k, inputCol="features", outputCol="pc").fit(sample)
+def pca_project(z: DataFrame, names, k: int = 2):
+    """(row_id, pc1..pck) of all rows and (component, variance_share). Columns must be centred."""
+    rows = vectorise(z, names)
+    model = PCA(k=k, inputCol="features", outputCol="pc").fit(rows)
     at = vector_to_array("pc")
-    coords = model.transform(sample).select("row_id", *[at[i].alias(f"pc{i + 1}") for i in range(k)])
+    coords = model.transform(rows).select("row_id", *[at[i].alias(f"pc{i + 1}") for i in range(k)])
     shares = z.sparkSession.createDataFrame(
         [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance)],
         "component int, variance_share double")

@@ -23,7 +23,7 @@ def external_metrics(scored: DataFrame) -> DataFrame:
         count_if((y == 0) & (p == 1)).alias("fa"), count_if(y == p).alias("right"))
     recall = ratio(F.col("caught"), F.col("n_malicious"), None)
     precision = ratio(F.col("caught"), F.col("caught") + F.col("fa"))
-    f1 = ratio(2 * precision * recall, precision + recall)
+    f1 = F.when(recall.isNotNull(), ratio(2 * precision * recall, precision + recall))
 
     def with_benign(column: Column) -> Column:
         return F.when(F.col("n_benign") > 0, column)

@@ -7,19 +7,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urlsieve.operators.aggregates import class_balance, confusion_columns, ratio
+from urlsieve.operators.aggregates import class_balance, ratio
 from urlsieve.operators.shape import error_rows
+from urlsieve.session import stage_table
 
 CV_SD = 0.0006
 NOISE_FLOOR = 2 * CV_SD
 HARD_OVERLAP = 0.7
-_SCORE_STEPS = 1 << 20
+_SCORE_STEPS = 1 << 16
 
 
 def stack_results(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def _spread(s: Column) -> Column:
+    """A growing function of the score that is about as fine near 0, near 1 and far out as anywhere else."""
+    small = F.signum(s) * (F.log2(F.greatest(F.abs(s), F.lit(2.0 ** -1020))) + 1030)
+    return F.when(s <= 0.5, small).when(s < 1, 1100 - F.log2(1 - s)).otherwise(1200 + F.log2(s))
+
+
 def roc_auc(scored: DataFrame, score: str = "score", by: str = "model") -> DataFrame:
     """Exact area under the ROC curve per model (ties count half); null when a class is missing.
 
@@ -27,10 +34,11 @@ def roc_auc(scored: DataFrame, score: str = "score", by: str = "model") -> DataF
     steps are counted from the table of steps, those lower in the same step by a window over that step, so
     no window runs over all scores.
     """
-    y = F.col("label")
+    y = F.col("label").cast("bigint") * (F.col("_w") if "_w" in scored.columns else 1)
+    rows = F.col("_w") if "_w" in scored.columns else F.lit(1)
     points = (scored.where(F.col(score).isNotNull()).groupBy(by, F.col(score).alias("_s"))
-              .agg(F.sum(y.cast("bigint")).alias("_pos"), F.sum(1 - y.cast("bigint")).alias("_neg"))
-              .withColumn("_step", F.floor(_SCORE_STEPS / (1 + F.exp(-F.col("_s"))))))
+              .agg(F.sum(y).alias("_pos"), F.sum(rows - y).alias("_neg"))
+              .withColumn("_step", F.floor(_SCORE_STEPS * _spread(F.col("_s")))))
     steps = points.groupBy(by, "_step").agg(F.sum("_neg").alias("_n"))
     before = Window.partitionBy(by).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
     steps = steps.select(by, "_step", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_lower"))
@@ -51,9 +59,15 @@ def metric_columns() -> list[Column]:
 
 
 def evaluate_binary(scored: DataFrame, by: str = "model") -> DataFrame:
-    """One row per model: accuracy, precision, recall, F1 (0 on zero division), ROC AUC, error counts."""
-    counts = scored.groupBy(by).agg(*[c.alias(n) for n, c in confusion_columns().items()])
-    return (counts.join(roc_auc(scored, by=by), by, "left")
+    """One row per model: accuracy, precision, recall, F1 (0 on zero division), ROC AUC, error counts.
+
+    The scored rows are evaluated once, into a row per model, score, prediction and label.
+    """
+    table = stage_table(scored.groupBy(by, "score", "prediction", "label").agg(F.count(F.lit(1)).alias("_w")), "scores")
+    y, p = F.col("label"), F.col("prediction")
+    cells = {"tn": (y == 0) & (p == 0), "fp": (y == 0) & (p == 1), "fn": (y == 1) & (p == 0), "tp": (y == 1) & (p == 1)}
+    counts = table.groupBy(by).agg(*[F.sum(F.when(c, F.col("_w")).otherwise(0)).alias(n) for n, c in cells.items()])
+    return (counts.join(roc_auc(table, by=by), by, "left")
             .select(by, *metric_columns(), "roc_auc", F.col("fn").alias("missed"),
                     F.col("fp").alias("false_alarms")))
 

@@ -23,7 +23,7 @@ from urlsieve.operators.aggregates import count_if, ratio
 from urlsieve.operators.evaluate import stack_results
 from urlsieve.operators.shape import feature_contract
 from urlsieve.operators.splits import hash_key, sample_n, stratified_folds
-from urlsieve.session import ensure_checkpoint_dir
+from urlsieve.session import ensure_checkpoint_dir, stage_table
 
 SEED = 42
 Trainer = Callable[[DataFrame, list[str]], PipelineModel]
@@ -120,7 +120,7 @@ def cross_validate_recall(df: DataFrame, names: list[str], fit_and_score, folds:
     ``fit_and_score(train, test, names)`` returns the scored test rows; see ``with_trainer``. Folds are
     fitted from ``parallelism`` driver threads, each fit being a set of cluster jobs.
     """
-    table = stratified_folds(df, folds=folds, seed=seed)
+    table = stage_table(stratified_folds(df, folds=folds, seed=seed), "folds")
 
     def one(f: int) -> DataFrame:
         scored = fit_and_score(table.where(F.col("fold") != f), table.where(F.col("fold") == f), names)
@@ -148,19 +148,19 @@ def feature_importance(model: PipelineModel, spark, name: str = "model") -> Data
 
 
 def permutation_importance(scorer: Callable[[DataFrame], DataFrame], test: DataFrame, names: list[str],
-                           repeats: int = 3, n: int = 20_000, seed: int = SEED) -> DataFrame:
-    """feature, importance: mean drop of recall when the feature is shuffled, on at most ``n`` rows.
+                           repeats: int = 3, n: int | None = None, seed: int = SEED) -> DataFrame:
+    """feature, importance: mean drop of recall when the feature is shuffled, on all rows or, if asked, ``n`` of them.
 
     Every (feature, repeat) is a shuffle of the sample: rows in hash order take the value of the row at the
     same place in row order. All of them are scored in one job.
     """
-    sample = sample_n(test, n, seed=seed)
+    sample = test if n is None else sample_n(test, n, seed=seed)
     base = recall_by(scorer(sample)).select("recall").scalar()
     case = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
                                for f in names for r in range(repeats)]))
     cases = sample.select("*", case.alias("_c")).select("*", F.col("_c.f").alias("_f"),
                                                         F.col("_c.r").alias("_r")).drop("_c")
-    # Each window holds one copy of the sample, so at most ``n`` rows.
+    # Each window holds one copy of the rows.
     group = Window.partitionBy("_f", "_r")
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), "_f", F.col("_r").cast("string"),
                             F.col("row_id").cast("string")))

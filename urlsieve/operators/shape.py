@@ -44,12 +44,13 @@ def distinct_ordered(df: DataFrame, key: str = "url", order: str = "row_id") ->
 
 
 def binary_label(df: DataFrame) -> DataFrame:
-    return df.withColumn("label", (F.col("type") != "benign").cast("int"))
+    """1 unless the type is benign; a missing type counts as malicious."""
+    return df.withColumn("label", (~F.col("type").eqNullSafe("benign")).cast("int"))
 
 
 def flip_label(df: DataFrame, positive: int = 0) -> DataFrame:
-    """Convert a convention where ``positive`` marks malicious rows."""
-    return df.withColumn("label", (F.col("label") == positive).cast("int"))
+    """Convert a convention where ``positive`` marks malicious rows; a missing label counts as another value."""
+    return df.withColumn("label", F.col("label").eqNullSafe(positive).cast("int"))
 
 
 def restrict_class(df: DataFrame, label: int) -> DataFrame:

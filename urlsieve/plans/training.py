@@ -12,11 +12,12 @@ from urlsieve.operators.evaluate import evaluate_binary, stack_results
 from urlsieve.operators.shape import LEAKY, ablate_columns
 from urlsieve.operators.splits import stratified_split
 from urlsieve.operators.models import score_with
+from urlsieve.session import stage_table
 
 
 def train_test(df: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """The same exact split every flow uses, so that results are measured on the same rows."""
-    table = stratified_split(df, test_share=test_share, seed=seed)
+    """The same exact split every flow uses, so that results are measured on the same rows; computed and written once."""
+    table = stage_table(stratified_split(df, test_share=test_share, seed=seed), "split")
     return table.where(~F.col("is_test")).drop("is_test"), table.where("is_test").drop("is_test")
 
 

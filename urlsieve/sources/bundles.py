@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
 
 from urlsieve.operators.models import feature_order
 
@@ -16,7 +16,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> tuple[PipelineModel, list[str]]:
     """The model and its feature order; a clear error when there is none at ``path``."""
     try:
-        model = PipelineModel.load(path)
-    except (AnalysisException, Py4JJavaError) as err:
+        SparkSession.active().read.text(f"{path}/metadata")
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no saved model at {path}; train and save one first") from err
+    model = PipelineModel.load(path)
     return model, feature_order(model)

@@ -10,7 +10,9 @@ from urlsieve.functions.parts import BLANKS
 from urlsieve.operators.shape import distinct_ordered, flip_label, require_columns
 from urlsieve.operators.splits import sample_n
 
-_CSV = {"header": True, "escape": '"', "multiLine": False, "mode": "PERMISSIVE"}
+#: One dialect for what is read and what is written: quotes are doubled, blanks and backslashes are text.
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_CSV = CSV | {"multiLine": False, "mode": "PERMISSIVE"}
 
 
 def line_order() -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from urlsieve.functions.features import FEATURE_NAMES
 from urlsieve.operators.shape import error_rows
+from urlsieve.sources.readers import CSV
 
 
 def write_feature_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -14,12 +15,12 @@ def write_feature_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     order = ["row_id", "url", *FEATURE_NAMES, "type", "label"]
     out = df.select(*[c for c in order if c in df.columns])
     writer = out.write.mode("overwrite")
-    writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
+    writer.options(**CSV).csv(path) if fmt == "csv" else writer.parquet(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
     """A small result table as one CSV file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def write_error_rows(scored: DataFrame, path: str, kind: str) -> None:
@@ -30,4 +31,4 @@ def write_error_rows(scored: DataFrame, path: str, kind: str) -> None:
 def write_scored(scored: DataFrame, path: str) -> None:
     """url, trust_score (one decimal), verdict."""
     (scored.select("url", (F.rint(F.col("trust_score") * 10) / 10).alias("trust_score"), "verdict")
-     .write.mode("overwrite").option("header", True).csv(path))
+     .write.mode("overwrite").options(**CSV).csv(path))
