@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 256
 PAIRS_PER_TASK = 128
+#: Where all blocks meet, rows are dealt into so many bins first.
+ALL_BINS = 8
 
 
 def block_pairs(points: DataFrame, carry, width: float | None = None,
@@ -26,13 +28,13 @@ def block_pairs(points: DataFrame, carry, width: float | None = None,
     more than their distance, so neighbours sit in the same or the next bin. A crowded bin is split by hash.
     """
     if width is None:
-        bin_of = F.lit(0).cast("bigint")
+        bin_of = F.pmod(F.xxhash64("id"), F.lit(ALL_BINS))
     else:
         norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x))
         bin_of = F.floor(norm / F.lit(width))
     binned = points.select("id", "vec", *carry, bin_of.alias("_bin"))
     sizes = binned.groupBy("_bin").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
-    placed = binned.join(sizes, "_bin").withColumn("_slot", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+    placed = binned.join(sizes, "_bin").withColumn("_slot", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_blocks")))
     rows = F.collect_list(F.struct("id", "vec", *carry))
     blocks = (placed.groupBy("_bin", "_slot").agg(rows.alias("r"))
               .select("_bin", F.concat_ws("/", "_bin", "_slot").alias("block"),
@@ -41,11 +43,10 @@ def block_pairs(points: DataFrame, carry, width: float | None = None,
     cols = ["id", "vec", *carry]
     # pairs of block names come from the small table of bins; each side then meets its name in an equi-join
     counts = sizes.select("_bin", F.col("_blocks").cast("bigint").alias("_n"))
-    if width is None:
-        near = counts.select("_bin", "_n", F.col("_bin").alias("_other"), F.col("_n").alias("_m"))
-    else:
-        near = (counts.select("_bin", "_n", F.explode(F.array(*[F.col("_bin") + d for d in (-1, 0, 1)])).alias("_other"))
-                .join(counts.select(F.col("_bin").alias("_other"), F.col("_n").alias("_m")), "_other"))
+    others = (F.array(*[F.lit(b).cast("bigint") for b in range(ALL_BINS)]) if width is None
+              else F.array(*[F.col("_bin") + d for d in (-1, 0, 1)]))
+    near = (counts.select("_bin", "_n", F.explode(others).alias("_other"))
+            .join(counts.select(F.col("_bin").alias("_other"), F.col("_n").alias("_m")), "_other"))
     named = near.select("_bin", "_other", "_m", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("_x"))
     named = named.select("_bin", "_other", "_x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1)).alias("_y"))
     named = named.select(F.concat_ws("/", "_bin", "_x").alias("a"), F.concat_ws("/", "_other", "_y").alias("b"))
