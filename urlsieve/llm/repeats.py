@@ -23,7 +23,7 @@ from urlsieve.session import stage_table
 K = 100
 PIECE = 512
 MANY = 64
-BUCKET = 1 << 17
+BUCKET = 1 << 15
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _VALUE[65])
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _back = np.ones(1, np.uint64)
@@ -84,38 +84,52 @@ def segments(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     return start, windows, least[start], content, twice
 
 
+def columns_of(strings: list[bytes], unit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each string once per offset below ``unit``, in symbols of ``unit`` bytes from last to first: (codes, sizes, first places).
+
+    Row ``unit * i + offset`` holds string i from that offset on, so that every place of a string is the start of one symbol.
+    """
+    words = [np.frombuffer(s, np.uint8)[o:] for s in strings for o in range(unit)]
+    sizes = np.array([len(w) // unit for w in words])
+    flat = np.concatenate([w[:n * unit] for w, n in zip(words, sizes)])
+    wide = flat.reshape(-1, unit).view(f"u{unit}")[:, 0] if unit > 1 else flat
+    found, codes = np.unique(wide, return_inverse=True)
+    kind = np.uint8 if len(found) < 255 else np.uint16 if len(found) < 65_535 else np.uint32
+    table = np.zeros((len(words), int(sizes.max(initial=0))), kind)
+    at = 0
+    for i, n in enumerate(sizes):
+        table[i, :n] = codes[at:at + n][::-1] + 1
+        at += n
+    return table, sizes, np.arange(len(words))
+
+
 def repeated_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string, whether the window at each place starts elsewhere in the strings too.
 
     One symbol of every string per round, from its last to its first: the transform's stable order by symbol gives the places of
-    the new suffixes, the least common prefix between neighbours of one symbol gives theirs.
+    the new suffixes, the least common prefix between neighbours of one symbol gives theirs. Symbols are words of as many
+    bytes (up to 8) as divide ``length``; a string then takes part once per offset, which makes the rounds fewer by that number.
     """
-    count = len(strings)
-    sizes = np.array([len(s) for s in strings])
-    used = np.unique(np.frombuffer(b"".join(strings), np.uint8))
-    code = np.zeros(256, np.uint16)
-    code[used] = np.arange(1, len(used) + 1)
-    kind = np.uint8 if len(used) < 255 else np.uint16
-    text = np.zeros((count, int(sizes.max(initial=0))), kind)
-    for i, s in enumerate(strings):
-        text[i, :len(s)] = code[np.frombuffer(s, np.uint8)][::-1]
+    unit = next(u for u in (8, 4, 2, 1) if length % u == 0)
+    text, sizes, place = columns_of(strings, unit)
+    count, kind, least = len(text), text.dtype, length // unit
     before, common = np.zeros(count, kind), np.zeros(count, np.int32)
-    place = np.arange(count)
     for column in range(text.shape[1]):
         active = np.flatnonzero(sizes > column)
         before[place[active]] = text[active, column]
         order = np.argsort(before, kind="stable")
-        order = order[np.count_nonzero(before == 0):]
+        order = order[len(before) - np.count_nonzero(before):]
         symbol = before[order]
         rank = np.empty(len(before), np.int64)
         rank[order] = np.arange(len(order))
-        fresh = np.sort(rank[place[active]])
+        mine = rank[place[active]]
+        fresh = np.sort(mine)
         total = len(before) + len(active)
         held = np.append(common, 0)
-        new = np.zeros(total, bool)
-        new[count + fresh] = True
+        old = np.ones(total, bool)
+        old[count + fresh] = False
         grown = np.zeros(total, np.int32)
-        grown[~new] = common
+        grown[old] = common
         for at in (fresh, fresh[fresh + 1 < len(order)] + 1):
             at = at[at > 0]
             at = at[symbol[at] == symbol[at - 1]]
@@ -123,22 +137,28 @@ def repeated_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
                 low, high = order[at - 1] + 1, order[at] + 1
                 grown[count + at] = 1 + np.minimum.reduceat(held, np.column_stack((low, high)).ravel())[::2]
         wider = np.zeros(total, kind)
-        wider[~new] = before
-        place = place.copy()
-        place[active] = count + rank[place[active]]
+        wider[old] = before
+        place[active] = count + mine
         before, common = wider, grown
-    near = common >= length
-    near[:-1] |= common[1:] >= length
+    near = common >= least
+    near[:-1] |= common[1:] >= least
     order = np.argsort(before, kind="stable")
     rank = np.empty(len(before), np.int64)
-    rank[order[np.count_nonzero(before == 0):]] = np.arange(count, len(before))
+    rank[order[len(before) - np.count_nonzero(before):]] = np.arange(count, len(before))
     flags = np.zeros(text.shape, bool)
     at = np.arange(count)
     for column in range(text.shape[1]):
         active = np.flatnonzero(sizes > column)
         at[active] = rank[at[active]]
         flags[active, column] = near[at[active]]
-    return [flags[i, :n][::-1][:max(n - length + 1, 0)] for i, n in enumerate(sizes)]
+    out = []
+    for i, s in enumerate(strings):
+        mine = np.zeros(len(s) + unit, bool)
+        for offset in range(unit):
+            row = unit * i + offset
+            mine[offset:offset + unit * sizes[row]:unit] = flags[row, :sizes[row]][::-1]
+        out.append(mine[:max(len(s) - length + 1, 0)])
+    return out
 
 
 def _scan(docs: DataFrame, length: int) -> DataFrame:
@@ -200,7 +220,8 @@ def _order(held: DataFrame, length: int) -> DataFrame:
             yield solve(bucket + group)
 
     # equal segments that two rows with one uid brought are one
-    rows = held.dropDuplicates(["key", "content"]).repartition("key").sortWithinPartitions("key").select("key", "content", "held")
+    tasks = 4 * int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the work is far more than the bytes tell
+    rows = held.dropDuplicates(["key", "content"]).repartition(tasks, "key").sortWithinPartitions("key").select("key", "content", "held")
     return rows.mapInArrow(run, "key long, content long, places array<int>")
 
 
