@@ -20,15 +20,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urlsieve.llm.narrow import most_frequent
 from urlsieve.llm.words import chunks, word_hashes
 from urlsieve.session import stage_table
 
 SIDE = 37
 WIDTH = 16
 WINDOW, OVERLAP = 32, 8
-BATCH = 512
+BATCH = 64
 RATE = 0.5
-FREQUENT = 2_000_000
+FREQUENT = 300_000
 STRETCH = 1 << 21
 END_WORD = np.uint64(0xE0F)
 _encoders: dict[str, tiktoken.Encoding] = {}
@@ -76,18 +77,22 @@ def start(counts: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
 
 
 LEARNT = ("embed", "place", "query", "key", "value", "mix", "out1", "out2", "out3")
+_ONES = np.ones(64, np.float32)
 _CAUSAL = np.where(np.tri(WINDOW, dtype=bool), 0, -1e9).astype(np.float32)
 
 
 def forward(w: dict, ids: np.ndarray, real: np.ndarray):
     x = w["embed"][ids] + w["place"]
     q, k, v = x @ w["query"], x @ w["key"], x @ w["value"]
-    s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH ** -0.5) + _CAUSAL
+    s = q @ k.transpose(0, 2, 1)
+    s *= np.float32(WIDTH ** -0.5)
+    s += _CAUSAL
     if not real.all():
         s += np.where(real | ~real.any(axis=1, keepdims=True), np.float32(0), np.float32(-1e9))[:, None, :]
-    s -= s.max(axis=2, keepdims=True)
+    if s.max() > 60:
+        s -= s.max(axis=2, keepdims=True)
     np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
+    s *= 1 / np.maximum(s @ _ONES[:WINDOW], np.float32(1e-30))[:, :, None]
     mixed = s @ v
     return x, q, k, v, s, mixed, x + mixed @ w["mix"]
 
@@ -96,18 +101,22 @@ def digits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids // (SIDE * SIDE), ids // SIDE % SIDE, ids % SIDE
 
 
-def heads(w: dict, h: np.ndarray, target: np.ndarray):
-    """For hidden rows and targets: (softmax, digit) of each digit and the natural log-probability."""
+def heads(w: dict, h: np.ndarray, target: np.ndarray, soft: bool = True):
+    """For hidden rows and targets: (softmax, digit) of each digit, if wanted, and the natural log-probability."""
     a, b, c = digits(target)
     rows, total, out = np.arange(len(target)), np.zeros(len(target), np.float64), []
     for name, bias, digit in (("out1", w["b1"], a), ("out2", w["b2"][a], b), ("out3", w["b3"][a * SIDE + b], c)):
         z = h @ w[name]
         z += bias
-        z -= z.max(axis=1, keepdims=True)
+        if z.size and z.max() > 60:
+            z -= z.max(axis=1, keepdims=True)
+        total += z[rows, digit]
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        total += np.log(np.maximum(z[rows, digit], 1e-30))
-        out.append((z, digit))
+        sums = np.maximum(z @ _ONES[:SIDE], 1e-30)
+        total -= np.log(sums)
+        if soft:
+            z *= (1 / sums)[:, None]
+            out.append((z, digit))
     return out, total
 
 
@@ -116,12 +125,13 @@ def descend(w: dict, ids: np.ndarray, target: np.ndarray, real: np.ndarray, rate
     x, q, k, v, s, mixed, hidden = forward(w, ids, real)
     flat, n = hidden.reshape(-1, WIDTH), max(int(real.sum()), 1)
     soft, _ = heads(w, flat, target.ravel())
-    rows, keep = np.arange(len(flat)), real.ravel()[:, None]
+    rows, keep, full = np.arange(len(flat)), real.ravel()[:, None], bool(real.all())
     g_h = np.zeros_like(flat)
     step = {}
     for name, (z, digit) in zip(("out1", "out2", "out3"), soft):
         z[rows, digit] -= 1
-        z *= keep
+        if not full:
+            z *= keep
         step[name] = flat.T @ z
         g_h += z @ w[name].T
     g_h = g_h.reshape(hidden.shape)
@@ -158,7 +168,7 @@ def log10_scores(w: dict, texts: list[str | None], enc: tiktoken.Encoding) -> np
         some, ok = inside[at:at + BATCH], real[at:at + BATCH]
         hidden = forward(w, flat[some], ok)[-1][:, OVERLAP:]
         counted = ok[:, OVERLAP:]
-        _, p = heads(w, hidden[counted], flat[some[:, OVERLAP:][counted] + 1])
+        _, p = heads(w, hidden[counted], flat[some[:, OVERLAP:][counted] + 1], soft=False)
         out += np.bincount(np.broadcast_to(text[at:at + BATCH, None], counted.shape)[counted], p, len(texts))
     return out / np.log(10)
 
@@ -234,7 +244,7 @@ def score_texts(docs: DataFrame, learn, path: str, pattern: str, text: str = "te
 
     ``learn``: condition of the rows to learn from; null counts as false. Null texts are empty: one token, the end. Repeated rows are
     scored each; other columns are left out. Without training rows all counts are 0.
-    Words beyond the FREQUENT commonest (32 MB broadcast) are looked up by a join.
+    Words beyond the FREQUENT commonest (5 MB broadcast) are looked up by a join.
     """
     spark = docs.sparkSession
     enc_of = lambda: encoder(path, pattern)
@@ -244,7 +254,7 @@ def score_texts(docs: DataFrame, learn, path: str, pattern: str, text: str = "te
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     first = spark.sparkContext.broadcast(start(pieces))
     model = spark.sparkContext.broadcast(train_model(train, first, enc_of))
-    ranked = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas().sort_values("word")
+    ranked = most_frequent(counts, "n", FREQUENT).toPandas().sort_values("word")
     top = spark.sparkContext.broadcast((ranked.word.to_numpy(np.int64), ranked.n.to_numpy(np.int64)))
     below = total + distinct + 1
 
@@ -265,12 +275,12 @@ def score_texts(docs: DataFrame, learn, path: str, pattern: str, text: str = "te
                 tokens, known, sums, rest, times_ = zip(*lists)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(base + serial + np.arange(part.num_rows)), part.column("doc_id"), part.column("learnt_from"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(sums, pa.float64()), pa.array(score), pa.array(rest, pa.list_(pa.int64())), pa.array(times_, pa.list_(pa.int64()))],
+                     pa.array(sums, pa.float64()), pa.array(score), pa.array(rest, pa.list_(pa.int64())), pa.array([t.astype(np.int32) for t in times_], pa.list_(pa.int32()))],
                     names=["row", "doc_id", "learnt_from", "n_tokens", "n_known", "base_score", "score", "rest", "times"])
                 serial += part.num_rows
 
     scored = stage_table(rows.mapInArrow(run, "row long, doc_id long, learnt_from boolean, n_tokens long, n_known long, base_score double, score double, "
-                                              "rest array<long>, times array<long>"), "scores")
+                                              "rest array<long>, times array<int>"), "scores")
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.times").alias("times"))
     rest = rest.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),

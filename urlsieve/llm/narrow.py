@@ -33,3 +33,17 @@ def components(edges: DataFrame) -> DataFrame:
         labels = low.select("id", "label")
         if low.filter("label <> old").isEmpty():
             return labels
+
+
+def most_frequent(counts: DataFrame, n: str, rows: int) -> DataFrame:
+    """The rows with the greatest counts, at most ``rows`` of them: all whose count is at least some bound.
+
+    The bound comes from how often each count occurs, a table of at most about the square root of all that was counted.
+    """
+    left, bound = rows, None
+    for r in counts.groupBy(n).agg(F.count(F.lit(1)).alias("_rows")).orderBy(F.desc(n)).collect():
+        left -= r["_rows"]
+        if left < 0:
+            break
+        bound = r[n]
+    return counts.filter(F.col(n) >= bound) if bound is not None else counts.limit(0)
