@@ -47,3 +47,16 @@ def most_frequent(counts: DataFrame, n: str, rows: int) -> DataFrame:
             break
         bound = r[n]
     return counts.filter(F.col(n) >= bound) if bound is not None else counts.limit(0)
+
+
+def least_by_hash(df: DataFrame, bound: int, *columns: str) -> DataFrame:
+    """At most ``bound`` rows, those with the least hash of ``columns``; rows that agree in them count once.
+
+    Only the hashes are sorted; the rows themselves are then picked by a filter and combined on the map side.
+    """
+    rows = df.withColumn("_hash", F.xxhash64(*columns))
+    cut = rows.select("_hash").distinct().orderBy("_hash").limit(bound).agg(F.max("_hash")).first()[0]
+    if cut is None:
+        return df.limit(0)
+    others = [F.first(c).alias(c) for c in df.columns]
+    return rows.filter(F.col("_hash") <= cut).groupBy("_hash").agg(*others).drop("_hash")
