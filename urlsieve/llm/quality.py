@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urlsieve.llm.narrow import least_by_hash
 from urlsieve.llm.words import chunks, word_hashes
 
 STATS = ("log_bytes", "log_words", "word_length", "upper", "digit", "mark", "pipe", "noise", "control", "high", "newline",
@@ -109,7 +110,7 @@ def fit_rules(labelled: DataFrame, bound: int = 20_000, trees: int = 12, depth:
     """labelled: ``stats`` and ``label`` (0 or 1), null labels left out. At most ``bound`` rows, a documented limit of the
     fit, chosen by the hash of their statistics. Without both labels the score is the share of label 1 (0.5 of none)."""
     rows = labelled.filter("label in (0, 1)").select("stats", F.col("label").cast("double").alias("label"))
-    rows = rows.orderBy(F.xxhash64("stats", "label")).limit(bound).select("label", *[F.col(f"stats.{s}") for s in STATS])
+    rows = least_by_hash(rows, bound, "stats", "label").select("label", *[F.col(f"stats.{s}") for s in STATS])
     held = rows.toPandas()
     n, ones = len(held), float(held.label.sum())
     if ones in (0.0, float(n)):
