@@ -20,7 +20,7 @@ from urlsieve.session import stage_table
 PROJECTED = 8
 CELL = 8192
 SAMPLE = 50_000
-LEAF = 32
+LEAF = 128
 BATCH = 1024
 _FOUND = "query long, class long, score double"
 
@@ -85,14 +85,19 @@ class Tree:
         self.low = np.array([points[r].min(axis=0) for r in leaves])
         self.high = np.array([points[r].max(axis=0) for r in leaves])
 
-    def search(self, projected: np.ndarray, verify, k: int, stop: float) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of up to k points: leaves by their distance, points in order of projected distance."""
+    def search(self, projected: np.ndarray, verify, k: int, stop: float, known: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and scores of up to k points: leaves by their distance, points in order of projected distance.
+
+        ``known``: squared distance of the k-th neighbour found elsewhere; the test holds to the nearer one.
+        """
         gap = np.maximum(np.maximum(self.low - projected, projected - self.high), 0)
         reach = (gap * gap).sum(axis=1)
         order = np.argsort(reach, kind="stable")
         rows, scores = np.zeros(0, np.int64), np.zeros(0)
         wait, far = np.zeros(0, np.int64), np.zeros(0)
         for i, leaf in enumerate(order):
+            if reach[leaf] > stop * known:
+                break
             mine = self.leaves[leaf]
             d = self.points[mine] - projected
             wait, far = np.concatenate((wait, mine)), np.concatenate((far, (d * d).sum(axis=1)))
@@ -105,8 +110,8 @@ class Tree:
                 if len(rows) > k:
                     best = np.argsort(-scores, kind="stable")[:k]
                     rows, scores = rows[best], scores[best]
-            if len(rows) >= k and bound >= stop * max(2 - 2 * scores.min(), 0):
-                break
+            if len(rows) >= k:
+                known = min(known, max(2 - 2 * scores.min(), 0))
         return rows, scores
 
 
@@ -116,9 +121,9 @@ def _search(points: pd.DataFrame, queries: pd.DataFrame, k: int, stop: float) ->
     vectors, asked = np.array(points.vector.tolist(), float), np.array(queries.vector.tolist(), float)
     norms, own = np.linalg.norm(vectors, axis=1), np.linalg.norm(asked, axis=1)
     tree, projected = Tree(np.array(points.projected.tolist())), np.array(queries.projected.tolist())
-    out = []
+    out, known = [], queries.d.astype(float).fillna(np.inf).to_numpy()
     for i, q in enumerate(queries["class"]):
-        rows, scores = tree.search(projected[i], lambda r: vectors[r] @ asked[i] / (norms[r] * own[i]), k, stop)  # noqa: B023
+        rows, scores = tree.search(projected[i], lambda r: vectors[r] @ asked[i] / (norms[r] * own[i]), k, stop, known[i])  # noqa: B023
         out.append(pd.DataFrame({"query": q, "class": points["class"].to_numpy()[rows], "score": scores}))
     return pd.concat(out)
 
@@ -178,7 +183,7 @@ def nearest(vectors: DataFrame, asks, k: int = 5, sure: float = 0.98, key: str =
     points = stage_table(points.mapInPandas(assign, "class long, vector array<double>, asks boolean, projected array<double>, cell long"), "cells")
     queries, points = stage_table(points.filter("asks").drop("asks"), "queries"), points.drop("asks")
     stop = quantile(sure)
-    near = stage_table(visit(points, queries, k + 1, stop), "found")
+    near = stage_table(visit(points, queries.withColumn("d", F.lit(None).cast("double")), k + 1, stop), "found")
     reached = near.groupBy(F.col("query").alias("class")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
     reached = reached.withColumn("d", F.when(F.col("n") > k, F.greatest(2 - 2 * F.col("worst"), F.lit(0.0))))
     dims = range(PROJECTED)
@@ -195,9 +200,9 @@ def nearest(vectors: DataFrame, asks, k: int = 5, sure: float = 0.98, key: str =
                 gap = np.maximum(np.maximum(low[None] - at[a:a + 256, None], at[a:a + 256, None] - high[None]), 0)
                 need = ~((gap * gap).sum(axis=2) >= stop * d[a:a + 256, None]) & (name[None] != p.cell.to_numpy()[a:a + 256, None])
                 row, cell = np.nonzero(need)
-                yield p.iloc[a + row][["class", "vector", "projected"]].assign(cell=name[cell])
+                yield p.iloc[a + row][["class", "vector", "projected", "d"]].assign(cell=name[cell])
 
-    more = queries.join(reached.select("class", "d"), "class", "left").mapInPandas(spread, "class long, vector array<double>, projected array<double>, cell long")
+    more = queries.join(reached.select("class", "d"), "class", "left").mapInPandas(spread, "class long, vector array<double>, projected array<double>, d double, cell long")
     found = near.union(stage_table(visit(points, stage_table(more, "visits"), k + 1, stop), "found"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     named = found.join(least, "class").withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1)
