@@ -47,11 +47,31 @@ def encoder(path: str, pattern: str) -> tiktoken.Encoding:
 
 def sequences(texts: list[str | None], enc: tiktoken.Encoding) -> tuple[np.ndarray, np.ndarray]:
     """All texts' ids with the mark (first free id) before and after each, and where each sequence starts (n + 1)."""
-    mark = enc.n_vocab
-    parts = [np.array([mark, *enc.encode_ordinary(t or ""), mark], np.int32) for t in texts]
+    return marked([np.array(enc.encode_ordinary(t or ""), np.uint16) for t in texts], enc.n_vocab)
+
+
+def marked(ids: list[np.ndarray], mark: int) -> tuple[np.ndarray, np.ndarray]:
+    parts = [np.concatenate(([mark], i, [mark])).astype(np.int32) for i in ids]
     return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
 
+def held_sequences(part: pa.RecordBatch, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    return marked([np.frombuffer(i, np.uint16) for i in part.column("ids").to_pylist()], mark)
+
+
+def encoded(rows: DataFrame, enc_of) -> DataFrame:
+    """The rows and their ids, two bytes each, written once: encoding costs more than reading them again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = enc_of()
+        for batch in batches:
+            for part, _, _ in chunks(batch, "text"):
+                ids = [np.array(enc.encode_ordinary(t), np.uint16).tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], names=[*part.schema.names, "ids"])
+
+    return stage_table(rows.mapInArrow(run, "doc_id long, text string, learnt_from boolean, ids binary"), "ids")
+
+
 def windows(begin: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window: places of its inputs, which of them exist, and its text. Targets stand one place on."""
     step = WINDOW - overlap
@@ -161,23 +181,27 @@ def descend(w: dict, ids: np.ndarray, target: np.ndarray, real: np.ndarray, rate
 
 def log10_scores(w: dict, texts: list[str | None], enc: tiktoken.Encoding) -> np.ndarray:
     """log10 probability of each whole text, its end included."""
-    flat, begin = sequences(texts, enc)
+    return sequence_scores(w, *sequences(texts, enc))
+
+
+def sequence_scores(w: dict, flat: np.ndarray, begin: np.ndarray) -> np.ndarray:
     inside, real, text = windows(begin, OVERLAP)
-    out = np.zeros(len(texts))
+    texts = len(begin) - 1
+    out = np.zeros(texts)
     for at in range(0, len(text), BATCH):
         some, ok = inside[at:at + BATCH], real[at:at + BATCH]
         hidden = forward(w, flat[some], ok)[-1][:, OVERLAP:]
         counted = ok[:, OVERLAP:]
         _, p = heads(w, hidden[counted], flat[some[:, OVERLAP:][counted] + 1], soft=False)
-        out += np.bincount(np.broadcast_to(text[at:at + BATCH, None], counted.shape)[counted], p, len(texts))
+        out += np.bincount(np.broadcast_to(text[at:at + BATCH, None], counted.shape)[counted], p, texts)
     return out / np.log(10)
 
 
-def count_tokens(train: DataFrame, enc_of) -> tuple[DataFrame, np.ndarray]:
+def count_tokens(train: DataFrame, mark: int) -> tuple[DataFrame, np.ndarray]:
     """(word, n) over all training texts, the end counted as a word, and the counts of subword ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, held, size = enc_of(), [], 0
+        held, size = [], 0
         ids = np.zeros(SIDE ** 3, np.int64)
         emit = lambda kind, key, n: pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n)], names=["kind", "word", "n"])
         for batch in batches:
@@ -185,7 +209,7 @@ def count_tokens(train: DataFrame, enc_of) -> tuple[DataFrame, np.ndarray]:
                 hashes, _, _ = word_hashes(data, offsets)
                 held += [hashes, np.full(part.num_rows, END_WORD)]
                 size += len(hashes) + part.num_rows
-                flat, begin = sequences(part.column("text").to_pylist(), enc)
+                flat, begin = held_sequences(part, mark)
                 ids += np.bincount(np.delete(flat, begin[:-1]), minlength=len(ids))
             if size >= STRETCH:
                 word, n = np.unique(np.concatenate(held), return_counts=True)
@@ -203,14 +227,14 @@ def count_tokens(train: DataFrame, enc_of) -> tuple[DataFrame, np.ndarray]:
     return counts.filter("kind = 0").select("word", "n"), np.bincount(pieces.word.astype(int), pieces.n, SIDE ** 3)
 
 
-def train_model(train: DataFrame, first, enc_of, rate: float = RATE) -> dict[str, np.ndarray]:
+def train_model(train: DataFrame, first, mark: int, rate: float = RATE) -> dict[str, np.ndarray]:
     """One pass of descent over all training texts in every task, and the average of the tasks' weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, w, tokens = enc_of(), {n: x.copy() for n, x in first.value.items()}, 0
+        w, tokens = {n: x.copy() for n, x in first.value.items()}, 0
         for batch in batches:
-            for part, _, _ in chunks(batch, "text"):
-                flat, begin = sequences(part.column("text").to_pylist(), enc)
+            for part, _, _ in chunks(batch, "ids"):
+                flat, begin = held_sequences(part, mark)
                 inside, real, _ = windows(begin, 0)
                 for at in range(0, len(inside), BATCH):
                     some, ok = inside[at:at + BATCH], real[at:at + BATCH]
@@ -249,17 +273,18 @@ def score_texts(docs: DataFrame, learn, path: str, pattern: str, text: str = "te
     spark = docs.sparkSession
     enc_of = lambda: encoder(path, pattern)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learnt_from"))
-    train = rows.filter("learnt_from").select("text")
-    counts, pieces = count_tokens(train, enc_of)
+    rows, mark = encoded(rows, enc_of), enc_of().n_vocab
+    train = rows.filter("learnt_from")
+    counts, pieces = count_tokens(train.select("text", "ids"), mark)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     first = spark.sparkContext.broadcast(start(pieces))
-    model = spark.sparkContext.broadcast(train_model(train, first, enc_of))
+    model = spark.sparkContext.broadcast(train_model(train.select("ids"), first, mark))
     ranked = most_frequent(counts, "n", FREQUENT).toPandas().sort_values("word")
     top = spark.sparkContext.broadcast((ranked.word.to_numpy(np.int64), ranked.n.to_numpy(np.int64)))
     below = total + distinct + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, (words, times) = enc_of(), top.value
+        words, times = top.value
         base, serial = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
@@ -271,7 +296,7 @@ def score_texts(docs: DataFrame, learn, path: str, pattern: str, text: str = "te
                     hit = words[at] == mine if len(words) else np.zeros(len(mine), bool)
                     known = times[at[hit]] if len(words) else np.zeros(0)
                     lists.append((int(n.sum()), int(n[hit].sum()), float(n[hit] @ np.log10((known + 1) / below)), mine[~hit], n[~hit]))
-                score = log10_scores(model.value, part.column("text").to_pylist(), enc)
+                score = sequence_scores(model.value, *held_sequences(part, mark))
                 tokens, known, sums, rest, times_ = zip(*lists)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(base + serial + np.arange(part.num_rows)), part.column("doc_id"), part.column("learnt_from"), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
