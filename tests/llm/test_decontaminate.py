@@ -41,6 +41,25 @@ def test_edits_and_edges(spark):
     assert decontaminate.leaked(docs.limit(0), items).count() == 0 and decontaminate.leaked(docs, items.limit(0)).count() == 0
 
 
+def test_edited_version_in_many_documents(spark):
+    """Fewer than half of the item's 4-grams stay intact, and they are as frequent as the leak."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    item = [word() for _ in range(42)]
+    edited = " ".join(w if i % 7 != 6 else word() for i, w in enumerate(item))
+    sparse = " ".join(w if i % 5 != 4 else word() for i, w in enumerate(item))
+    items = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    for text in (edited, sparse):
+        want = None
+        for n in (8, 9, 1_000):
+            docs = [(i, f"{word()} {word()} {text} {word()}") for i in range(n)] + [(n, " ".join(word() for _ in range(60))), (n + 1, " ".join(item[:6]))]
+            got = decontaminate.leaked(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+            assert sorted(r.doc_id for r in got) == list(range(n))
+            rows = {(r.item_id, r.align, r.seeds) for r in got}
+            assert len(rows) == 1 and rows == (want or rows)
+            want = rows
+
+
 def test_query_finds_what_holds_an_item(spark):
     sf = "/root/testdata/sf0.01"
     norm = lambda t: " ".join(re.findall(r"[^ \t-\r]+", t.lower()))

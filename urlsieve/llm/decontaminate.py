@@ -1,9 +1,9 @@
-"""Copies of benchmark items in documents, edited ones too: rare word n-grams seed them, local alignment scores them.
+"""Copies of benchmark items in documents, edited ones too: word n-grams seed them, local alignment scores them.
 
 Items are taken in blocks of at most ``BLOCK`` n-grams (about 60 MB broadcast), so any number of items works: each block
 is one more pass over the documents. A pass keeps, per document and item, the words around the seeds that met.
-Seeds far more frequent in the corpus than the other n-grams of their item are not counted as evidence; an item that is
-leaked everywhere keeps all of its seeds, because all are frequent alike.
+No seed is left out for being frequent: an edited version that leaks often makes just the intact n-grams frequent. What
+keeps common phrases cheap is a bound that no alignment exceeds, the share of an item's words that the region holds.
 """
 
 from __future__ import annotations
@@ -13,14 +13,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urlsieve.llm.words import chunks, shingles, word_hashes
 from urlsieve.session import stage_table
 
 BLOCK = 2_000_000
-_HIT = "doc_id long, item_id long, start long, grams array<long>, words binary"
+_HIT = "doc_id long, item_id long, seeds int, words binary"
 
 
 def item_words(items: DataFrame, n: int, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -69,13 +69,16 @@ def regions(diagonals: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(p[0]), int(p[-1])) for p in np.split(diagonals, cut)]
 
 
-def scan(docs: DataFrame, seeds, n: int, key: str, text: str) -> DataFrame:
-    """A row for each document, item and region of meeting seeds, with the region's word hashes."""
+def scan(docs: DataFrame, seeds, n: int, least: float, key: str, text: str) -> DataFrame:
+    """A row for each document, item and region of meeting seeds, with the number of distinct seeds and the region's word hashes.
+
+    An alignment matches each item word at most once, so regions that hold less than ``least`` of them cannot reach it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = seeds.value
         for batch in batches:
-            out = ([], [], [], [], [])
+            out = ([], [], [], [])
             for part, data, offsets in chunks(batch, "text"):
                 hashes, _, first = word_hashes(data, offsets)
                 grams, begin = shingles(hashes, first, n)
@@ -90,15 +93,18 @@ def scan(docs: DataFrame, seeds, n: int, key: str, text: str) -> DataFrame:
                 edge = np.flatnonzero((np.diff(row) != 0) | (np.diff(item) != 0)) + 1
                 ids = part.column("doc_id").to_pylist()
                 for a, b in zip(np.append(0, edge), np.append(edge, len(row))):
-                    words, length = hashes[first[row[a]]:first[row[a] + 1]], len(s.words[item[a]])
+                    words, wanted = hashes[first[row[a]]:first[row[a] + 1]], s.words[item[a]]
+                    length = len(wanted)
                     for low, high in regions(diagonal[a:b], length):
                         slack = length // 4 + n
                         start, end = max(low - slack, 0), min(high + length + slack, len(words))
+                        if np.isin(wanted, words[start:end]).sum() / length < least:
+                            continue
                         inside = (diagonal[a:b] >= low) & (diagonal[a:b] <= high)
-                        for column, value in zip(out, (ids[row[a]], int(item[a]), start, np.unique(gram[a:b][inside]).view(np.int64), words[start:end].tobytes())):
+                        for column, value in zip(out, (ids[row[a]], int(item[a]), len(np.unique(gram[a:b][inside])), words[start:end].tobytes())):
                             column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "item_id", "start", "grams", "words"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "item_id", "seeds", "words"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, _HIT)
@@ -139,13 +145,8 @@ def leaked(docs: DataFrame, items: DataFrame, n: int = 4, least: float = 0.5, ke
         if not held:
             continue
         seeds = spark.sparkContext.broadcast(Seeds(held))
-        hits = stage_table(scan(docs, seeds, n, key, text), "seed-hits")
-        counts = hits.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-        grams = mine.select("item_id", F.explode(F.array_distinct("grams")).alias("gram")).join(counts, "gram", "left").fillna(0, ["df"])
-        median = grams.groupBy("item_id").agg(F.percentile("df", 0.5).alias("median"))
-        rare = grams.join(median, "item_id").filter("df <= 4 * median + 8").groupBy("item_id").agg(F.collect_set("gram").alias("rare"))
-        seeded = hits.join(F.broadcast(rare), "item_id").withColumn("seeds", F.size(F.array_intersect("grams", "rare"))).filter("seeds > 0")
-        found.append(score_regions(seeded.select("doc_id", "item_id", "seeds", "words"), seeds, least))
+        hits = stage_table(scan(docs, seeds, n, least, key, text), "seed-hits")
+        found.append(score_regions(hits, seeds, least))
     if not found:
         return spark.createDataFrame([], "doc_id long, item_id long, align double, seeds int")
     every = reduce(DataFrame.union, found)
