@@ -40,5 +40,22 @@ def test_edges(spark, sf_dir, texts):
     assert docs.count() == (3 if texts else 0)
 
 
+def test_repeated_and_null_identifiers(spark, sf_dir):
+    """Rows are judged each on its own: unlinked texts under one id stay, copies and leaks without an id go."""
+    text = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    leak = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("item_id is not null").orderBy("item_id").first().text
+    rows = [(1, text("a")), (2, text("b")), (2, text("a")), (2, text("c")), (2, text("c")), (3, None), (3, None), (4, text("d")), (5, text("d") + " more"), (None, text("d")),
+            *[(None, text("e"))] * 5, (None, text("f")), (None, leak), (6, leak), (6, text("g"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], COLUMNS)
+    got = corpus_pipeline.keep_one_of_each(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    want = [(1, text("a")), (2, text("b")), (2, text("c")), (3, None), (4, text("d")), (None, text("e")), (None, text("f")), (6, leak), (6, text("g"))]
+    order = lambda pairs: sorted(pairs, key=str)
+    assert order((r.doc_id, r.text) for r in got.collect()) == order(want)
+    clean = corpus_pipeline.drop_leaks(spark, docs, sf_dir)
+    assert clean.columns == docs.columns
+    assert order((r.doc_id, r.text) for r in clean.collect()) == order(r for r in rows if r[1] != leak)
+
+
 def test_run(spark, sf_dir):
     assert 0 < corpus_pipeline.run(spark, sf_dir).count() <= 200
