@@ -3,7 +3,7 @@ rows-only."""
 
 from pyspark.sql import functions as F
 
-from checks.corpus import stored_features
+from checks.corpus import SEED, stored_features
 from checks.register import query, r6, rounded
 from urlsieve.functions.features import FEATURE_NAMES
 from urlsieve.operators import aggregates as A
@@ -13,21 +13,26 @@ from urlsieve.operators.shape import restrict_class
 from urlsieve.operators.standardise import fit_moments, standardise
 from urlsieve.plans import clustering as P
 
-NAMES = ("url_length", "hostname_length", "path_length", "nb_subdomains", "nb_dots", "ratio_digits_url",
-         "nb_hyphens", "has_ip_host", "phish_hints", "suspicious_tld", "entropy_url", "vowel_ratio")
+NAMES = tuple(FEATURE_NAMES)
 
 # A grouping of the malicious rows by rule: numeric hosts, shorteners, abused endings, the rest.
 RULE = ("CASE WHEN has_ip_host = 1 THEN 0 WHEN is_shortening_service = 1 THEN 1 "
         "WHEN suspicious_tld = 1 THEN 2 ELSE 3 END")
 
 _ASSIGNED = f"""mal AS (SELECT row_id, url, type, CAST({RULE} AS INT) AS cluster, {', '.join(NAMES)} FROM feats WHERE label = 1),
-mom AS (SELECT {', '.join(f'avg({n}) AS m_{n}, stddev_pop({n}) AS s_{n}' for n in NAMES)} FROM mal),
+mom AS (SELECT {', '.join(f'avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}' for n in NAMES)} FROM mal),
 z AS (SELECT row_id, cluster, {', '.join(f'({n} - m_{n}) / s_{n} AS {n}' for n in NAMES)} FROM mal CROSS JOIN mom)"""
 _PROFILES = _ASSIGNED + ", profiles AS (" + " UNION ALL ".join(
     f"SELECT cluster, '{n}' AS feature, round(avg({n}), 9) AS z FROM z GROUP BY cluster" for n in NAMES) + ")"
 _VECTORS = _ASSIGNED + f""", v AS (SELECT row_id AS id, cluster, [{', '.join(NAMES)}] AS vec FROM z)"""
 
 
+def _sampled(ctes, n):
+    """The same with the first n rows in the order of the operators' sample."""
+    first = f"(SELECT * FROM z ORDER BY md5('{SEED}|' || row_id), row_id LIMIT {n})"
+    return ctes.replace("AS vec FROM z)", f"AS vec FROM {first})")
+
+
 def malicious(spark, sf_dir):
     return restrict_class(stored_features(spark, sf_dir), 1)
 
@@ -114,7 +119,7 @@ ab AS (SELECT id, own, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1)
 sil AS (SELECT id, own, CASE WHEN a IS NULL THEN CAST(0 AS DOUBLE) WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE CAST(0 AS DOUBLE) END AS s FROM ab)"""
 
 
-@query("SELECT round(avg(s), 6) AS silhouette, count(*) AS n FROM sil", _SIL)
+@query("SELECT round(avg(s), 6) AS silhouette, count(*) AS n FROM sil", _sampled(_SIL, C.SILHOUETTE_SAMPLE))
 def silhouette_sample(spark, sf_dir):
     return rounded(C.silhouette_sample(z_scores(spark, sf_dir), NAMES, C.SILHOUETTE_SAMPLE))
 
@@ -171,7 +176,7 @@ def dbscan(spark, sf_dir):
 
 
 @query("""SELECT eps, count(DISTINCT label) FILTER (core) AS clusters, round(count(*) FILTER (label IS NULL) / CAST(count(*) AS DOUBLE), 6) AS noise_share
-  FROM lab GROUP BY eps""", _dbscan_sql(C.EPS_SWEEP))
+  FROM lab GROUP BY eps""", _sampled(_dbscan_sql(C.EPS_SWEEP), C.DBSCAN_SAMPLE))
 def dbscan_sweep(spark, sf_dir):
     return rounded(C.dbscan_sweep(z_scores(spark, sf_dir), NAMES, n=C.DBSCAN_SAMPLE))
 
@@ -180,25 +185,25 @@ def dbscan_sweep(spark, sf_dir):
 
 @query()
 def kmeans_fit(spark, sf_dir):
-    """Centres of the best of three restarts."""
+    """Centres of the best of the operator's restarts."""
     z = z_scores(spark, sf_dir)
-    model = C.kmeans_fit(z, NAMES, 4, n_init=3)
+    model = C.kmeans_fit(z, NAMES, 4)
     rows = [(c, n, float(v)) for c, centre in enumerate(model.clusterCenters()) for n, v in zip(NAMES, centre)]
     return spark.createDataFrame(rows, "cluster int, feature string, z double")
 
 
 @query()
 def choose_k(spark, sf_dir):
-    return C.choose_k(z_scores(spark, sf_dir), NAMES, ks=(2, 3, 4), n_init=2, max_iter=50)
+    return C.choose_k(z_scores(spark, sf_dir), NAMES)
 
 
 @query()
 def second_pass(spark, sf_dir):
-    """Sizes of the clusters of both passes (a low threshold makes sure there is a second one)."""
+    """Sizes of the clusters of both passes; of the first alone where no cluster holds 0.6 of the rows."""
     rows = malicious(spark, sf_dir)
-    first = P.cluster_class(rows, FEATURE_NAMES, ks=(2, 3), n_init=2, max_iter=50)
+    first = P.cluster_class(rows, FEATURE_NAMES)
     sizes = A.cluster_sizes(first.assigned).withColumn("level", F.lit("first"))
-    second = P.second_pass(rows, first, FEATURE_NAMES, ks=(2, 3), threshold=0.3, n_init=2, max_iter=50)
+    second = P.second_pass(rows, first, FEATURE_NAMES)
     if second is None:
         return sizes
     return sizes.unionByName(A.cluster_sizes(second.assigned).withColumn("level", F.lit("second")))

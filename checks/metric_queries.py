@@ -12,7 +12,7 @@ from urlsieve.operators import evaluate as E
 from urlsieve.operators import models as M
 from urlsieve.operators import ranking as K
 from urlsieve.operators import score as S
-from urlsieve.operators.shape import dedupe_urls, flip_label
+from urlsieve.operators.shape import constant_columns, dedupe_urls, flip_label
 from urlsieve.operators.splits import stratified_folds, stratified_split
 from urlsieve.plans import validation as V
 from urlsieve.plans.scoring import score_urls as plan_score_urls
@@ -401,18 +401,21 @@ def external_alarm_verdict(spark, sf_dir):
 
 @query("SELECT feature, round(importance, 6) AS importance FROM drops ORDER BY round(importance, 9) DESC, feature LIMIT 5",
        "drops AS (SELECT feature, round(abs(corr), 9) AS importance FROM (" + " UNION ALL ".join(
-           f"SELECT '{n}' AS feature, corr({n}, label) AS corr FROM feats" for n in ("url_length", "nb_dots", "phish_hints", "nb_at", "path_depth", "entropy_url", "is_https", "has_port")) + "))")
+           f"SELECT '{n}' AS feature, corr({n}, label) AS corr FROM feats" for n in FEATURE_NAMES) + ") WHERE NOT isnan(corr))")
 def importance_topk(spark, sf_dir):
     return rounded(K.importance_topk(_correlations(spark, sf_dir), 5).select("feature", "importance"))
 
 
-_CORR = ("url_length", "nb_dots", "phish_hints", "nb_at", "path_depth", "entropy_url", "is_https", "has_port")
+_CORR = tuple(FEATURE_NAMES)
 
 
 def _correlations(spark, sf_dir):
-    """An importance table computed from the data: |correlation| of some features with the label."""
-    one = stored_features(spark, sf_dir).agg(*[F.round(F.abs(F.corr(n, "label")), 9).alias(n) for n in _CORR])
-    return one.unpivot([], list(_CORR), "feature", "importance").withColumn("model", F.lit("m"))
+    """An importance table computed from the data: |correlation| of the features that vary with the label."""
+    table = stored_features(spark, sf_dir)
+    fixed = constant_columns(table, _CORR)
+    names = [n for n in _CORR if n not in fixed]
+    one = table.agg(*[F.round(F.abs(F.corr(n, "label")), 9).alias(n) for n in names])
+    return one.unpivot([], names, "feature", "importance").withColumn("model", F.lit("m"))
 
 
 @query("""SELECT feature, rank() OVER (ORDER BY n DESC) + (count(*) OVER (PARTITION BY n) - 1) / CAST(2 AS DOUBLE) AS rank FROM (""" + " UNION ALL ".join(
@@ -423,7 +426,7 @@ def importance_rank(spark, sf_dir):
     return K.importance_rank(table).select("feature", "rank")
 
 
-_PERM = ("suspicious_tld", "phish_hints", "nb_at", "is_https", "url_length")
+_PERM = tuple(FEATURE_NAMES)
 
 
 def _perm_sql():
@@ -458,13 +461,13 @@ def balanced_weights(spark, sf_dir):
     return rounded(M.balanced_weights(table.where("not is_test")).select("row_id", "weight"))
 
 
-_STD = ("url_length", "entropy_url", "nb_dots", "ratio_digits_url")
+_STD = tuple(FEATURE_NAMES)
 
 
 @query("SELECT row_id, " + ", ".join(
     f"round((f.{n} - m_{n}) / s_{n}, 5) AS {n}" for n in _STD)
     + " FROM feats f JOIN split USING (row_id) CROSS JOIN (SELECT " + ", ".join(
-        f"avg({n}) AS m_{n}, stddev_pop({n}) AS s_{n}" for n in _STD)
+        f"avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}" for n in _STD)
     + " FROM feats JOIN split USING (row_id) WHERE NOT is_test) WHERE is_test")
 def standardise(spark, sf_dir):
     from urlsieve.operators import standardise as Z

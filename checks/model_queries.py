@@ -17,7 +17,7 @@ from urlsieve.sources import bundles
 
 SMALL_FOREST = partial(M.train_forest, trees=20, depth=10)
 SMALL_BOOSTER = partial(M.train_booster, rounds=10, depth=4)
-NB_NAMES = ("url_length", "nb_dots", "entropy_url", "phish_hints")
+NB_NAMES = tuple(FEATURE_NAMES)
 
 
 def split(spark, sf_dir):
@@ -59,7 +59,7 @@ def train_gaussian_nb(spark, sf_dir):
     return _evaluated(spark, sf_dir, M.train_gaussian_nb, "naive Bayes")
 
 
-_Z = ", ".join(f"({n} - (SELECT avg({n}) FROM t)) / (SELECT stddev_samp({n}) FROM t) AS {n}" for n in NB_NAMES)
+_Z = ", ".join(f"({n} - (SELECT avg({n}) FROM t)) / (SELECT coalesce(nullif(stddev_samp({n}), 0), 1) FROM t) AS {n}" for n in NB_NAMES)
 
 
 @query("SELECT label, feature, round(mean, 4) AS mean, round(variance, 4) AS variance FROM (" + " UNION ALL ".join(
@@ -78,7 +78,8 @@ def gaussian_nb_moments(spark, sf_dir):
 def compare_models(spark, sf_dir):
     train, test = split(spark, sf_dir)
     return T.compare_models(train, test, FEATURE_NAMES, {
-        "random forest": SMALL_FOREST, "gradient boosting": SMALL_BOOSTER, "naive Bayes": M.train_gaussian_nb})
+        "random forest": SMALL_FOREST, "gradient boosting": SMALL_BOOSTER, "naive Bayes": M.train_gaussian_nb,
+        "linear SVM": partial(M.train_linear_svm, max_iter=50)})
 
 
 @query()

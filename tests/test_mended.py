@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from urlsieve.functions.features import FEATURE_NAMES
 from urlsieve.operators import aggregates as A
 from urlsieve.operators import cluster as C
 from urlsieve.operators import diagnostics as D
@@ -64,3 +65,15 @@ def test_broken_model_is_not_called_missing(spark, tmp_path):
     with pytest.raises(Exception) as err:
         bundles.load_model(str(tmp_path / "bad"))
     assert not isinstance(err.value, FileNotFoundError)
+
+
+def test_checked_queries_take_all_features():
+    from checks import cluster_queries, metric_queries, model_queries
+    for names in (cluster_queries.NAMES, metric_queries._STD, metric_queries._CORR, metric_queries._PERM, model_queries.NB_NAMES):
+        assert list(names) == list(FEATURE_NAMES)
+
+
+def test_sampling_queries_sample_in_sql():
+    from checks.registry import SQL
+    assert "LIMIT 20000" in SQL["silhouette_sample"] and "LIMIT 30000" in SQL["dbscan_sweep"]
+    assert "LIMIT" not in SQL["silhouette_points"] and "LIMIT" not in SQL["dbscan"]
