@@ -75,5 +75,6 @@ def test_checked_queries_take_all_features():
 
 def test_sampling_queries_sample_in_sql():
     from checks.registry import SQL
-    assert "LIMIT 20000" in SQL["silhouette_sample"] and "LIMIT 30000" in SQL["dbscan_sweep"]
-    assert "LIMIT" not in SQL["silhouette_points"] and "LIMIT" not in SQL["dbscan"]
+    first = "FROM (SELECT * FROM z ORDER BY md5('42|' || row_id), row_id LIMIT "
+    assert first + "20000)" in SQL["silhouette_sample"] and first + "30000)" in SQL["dbscan_sweep"]
+    assert first not in SQL["silhouette_points"] and first not in SQL["dbscan"]
