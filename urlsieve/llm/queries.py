@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repeats, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repeats, runs, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -141,3 +141,36 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's log-probability under the attention model and under the word unigrams of the training rows."""
     scored = lm.score_texts(table(spark, sf_dir, "documents"), ~held_out(7), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return scored.withColumn("held_out", F.coalesce(held_out(7), F.lit(False))).drop("learnt_from")
+
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def repeated_tail(doc_id, text):
+    """The text of every tenth document, by its checksum, with the words from some place on replaced by repeats of the first of them."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeat(words):
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(tail, F.lit(1), n - a)), " ")
+
+    once = F.transform(F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), repeat)
+    return F.when(h % 10 == 0, F.get(once, 0)).otherwise(text)
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every text, the longest one of each, and digests of all runs and of the text without repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.periodic_runs(docs)
+    longest = F.get(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))), 0)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), (-F.col("longest.less")).alias("length"),
+        F.col("longest.period").alias("period"), F.expr("-1000 * longest.less div longest.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

@@ -17,8 +17,9 @@ _rng = np.random.default_rng(20240607)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_VALUE[65:91] = _VALUE[97:123]
 _VALUE[_SPACE] = 0
+CASED = _VALUE.copy()
+_VALUE[65:91] = _VALUE[97:123]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _power = np.ones(1, np.uint64)
@@ -77,14 +78,14 @@ def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each word, start of each word, first word of each document."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, value: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each word, start of each word, first word of each document. With the values CASED, A and a differ."""
     starts, first = word_starts(data, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), starts, first
     stretch = np.diff(starts, append=len(data))
     place = np.arange(starts[0], len(data)) - np.repeat(starts, stretch)
-    terms = _VALUE[data[starts[0]:]] * powers(int(stretch.max()))[place]
+    terms = value[data[starts[0]:]] * powers(int(stretch.max()))[place]
     return mix(np.add.reduceat(terms, starts - starts[0])), starts, first
 
 
