@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repeats, runs, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repair, repeats, runs, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -174,3 +174,67 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), (-F.col("longest.less")).alias("length"),
         F.col("longest.period").alias("period"), F.expr("-1000 * longest.less div longest.period").alias("exponent_milli"),
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, without full stops, repeated or of the wrong role, by the checksum of conversation and turn."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(part("text"), "[.!?]", "")).otherwise(part("text"))
+    rows = turns.filter(kind != 0).select("conv_id", "turn", F.when(kind == 4, "user").otherwise(part("role")).alias("role"), text.alias("text"),
+                                          F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    return rows.drop("copy")
+
+
+@query(r"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+c AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(key)), lambda i: ('0x' || substr(hex(key), 2 * i + 1, 2))::BIGINT)),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384::BIGINT))),
+    4294967295::BIGINT) % 20 AS kind FROM k),
+d AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS conv, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, kind, conv_id FROM c),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i
+    FROM (SELECT * FROM d WHERE kind <> 0 UNION ALL SELECT * FROM d WHERE kind = 3)),
+f AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS said,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, lag(role[1]) OVER (PARTITION BY conv ORDER BY i) || role[1] AS pair,
+    max(i) OVER (PARTITION BY conv) AS n FROM e),
+g AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (NOT blank AND said) AS duplicate, count(*) FILTER (NOT blank AND NOT said AND cut) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv),
+v(conv, i, state, best) AS (
+    SELECT DISTINCT conv, 0::BIGINT, '', {'cost': 0::BIGINT, 'audit': '', 'said': []::VARCHAR[]} FROM f
+    UNION ALL
+    SELECT conv, i + 1, step.state, min(step.best) FROM (
+        SELECT w.conv, w.i, unnest(CASE WHEN r.n < w.i + 1 THEN [] WHEN r.blank OR r.said THEN [
+                {'state': w.state, 'best': {'cost': w.cost + 3, 'audit': w.audit || 'D', 'said': w.said}}] ELSE [
+                {'state': w.state, 'best': {'cost': w.cost + 3, 'audit': w.audit || 'D', 'said': w.said}},
+                CASE WHEN r.role[1] = w.next OR r.role[1] = 's' AND w.state = '' THEN
+                    {'state': r.role[1], 'best': {'cost': w.cost + r.cut::INT, 'audit': w.audit || 'K', 'said': list_append(w.said, r.role || ':' || r.text)}} END,
+                {'state': w.next, 'best': {'cost': w.cost + 2 + r.cut::INT, 'audit': w.audit || 'R',
+                    'said': list_append(w.said, CASE w.next WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text)}}] END) AS step
+        FROM (SELECT conv, i, state, CASE state WHEN 'u' THEN 'a' ELSE 'u' END AS next, best.cost AS cost, best.audit AS audit, best.said AS said FROM (
+            SELECT conv, i, state, best FROM v
+            UNION ALL SELECT conv, i, CASE state WHEN 'u' THEN 'a' ELSE 'u' END, {'cost': best.cost + 2, 'audit': best.audit || 'I',
+                'said': list_append(best.said, CASE state WHEN 'u' THEN 'assistant:' ELSE 'user:' END)} FROM v
+            UNION ALL SELECT conv, i, CASE state WHEN 'u' THEN 'u' ELSE 'a' END, {'cost': best.cost + 4, 'audit': best.audit || 'II',
+                'said': list_concat(best.said, CASE state WHEN 'u' THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END)} FROM v)) w
+        JOIN f r ON r.conv = w.conv AND r.i = w.i + 1) WHERE step IS NOT NULL GROUP BY ALL),
+z AS (SELECT conv, min(best) AS best FROM (
+        SELECT conv, i, state, best FROM v
+        UNION ALL SELECT conv, i, 'a', {'cost': best.cost + 2, 'audit': best.audit || 'I', 'said': list_append(best.said, 'assistant:')} FROM v WHERE state = 'u'
+        UNION ALL SELECT conv, i, 'a', {'cost': best.cost + 4, 'audit': best.audit || 'II', 'said': list_concat(best.said, ['user:', 'assistant:'])} FROM v WHERE state <> 'u')
+    JOIN (SELECT DISTINCT conv, n FROM f) USING (conv) WHERE i = n AND state IN ('', 'a') GROUP BY conv)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit,
+    sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM d) LEFT JOIN g USING (conv) LEFT JOIN z USING (conv)""")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, what is wrong with each, and the cheapest edits that mend it."""
+    turns = table(spark, sf_dir, "conversations")
+    report, repaired = repair.repair_turns(damaged(turns))
+    found = report.join(repair.digests(repaired).withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    every = turns.select(F.col("conv_id").alias("_conv")).distinct()
+    rows = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    return rows.select(F.col("_conv").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                       F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
