@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repair, repeats, runs, toolcalls, warc
+from urlsieve.llm import bpe, decontaminate, jaccard, lm, neighbours, pii, quality, repair, repeats, runs, templates, toolcalls, warc
 from urlsieve.session import stage_table
 
 QUERIES: dict = {}
@@ -238,3 +238,51 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
     return rows.select(F.col("_conv").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
                        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+_FITS = "\n".join(f"    WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'" for h, p, _ in sorted(RULES, key=lambda r: -len(r[0] + r[1])))
+_VERDICTS = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
+
+
+def _close(a, b, c, d):
+    a, b, c, d = (f"({x})::DOUBLE" for x in (a, b, c, d))
+    return (f"({a} + {b} + {c} + {d}) * ({a} * {d} - {b} * {c}) * ({a} * {d} - {b} * {c}) <= {templates.SIMILAR}::DOUBLE * ({a} + {b}) * ({c} + {d}) * ({a} + {c}) * ({b} + {d})")
+
+
+@query(f"""
+WITH RECURSIVE u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{templates.UPPER}', '{templates.UPPER.lower()}') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, CASE
+{_FITS} END AS rule, array_to_string(list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+    lambda s: regexp_replace(regexp_replace(s, '[0-9a-fA-F-]{{16,}}', '{{x}}', 'g'), '[0-9]+', '{{n}}', 'g')), '/') AS shape FROM u),
+l AS (SELECT *, CASE rule {_VERDICTS} END AS ruled FROM r),
+v(host, shape, n, good, bad, node, d, template) AS (
+    SELECT host, shape, count(*), count(*) FILTER (ruled = 'allow'), count(*) FILTER (ruled = 'block'), '', 1, NULL::VARCHAR FROM l GROUP BY host, shape
+    UNION ALL
+    SELECT k.host, k.shape, k.n, k.good, k.bad, k.node || '/' || m.name, k.d + 1,
+        CASE WHEN k.total < {templates.SUPPORT} THEN k.node || '/**' WHEN k.child = '' THEN CASE k.node WHEN '' THEN '/' ELSE k.node END END
+    FROM (SELECT *, CASE WHEN total >= {templates.SUPPORT} AND child <> '' THEN CASE WHEN kn >= {templates.SUPPORT} AND kn * {templates.RARE} >= total THEN child ELSE '*' END END AS branch
+        FROM (SELECT *, sum(n) OVER (PARTITION BY host, node) AS total, sum(n) OVER (PARTITION BY host, node, child) AS kn
+            FROM (SELECT *, coalesce(string_split(shape, '/')[d], '') AS child FROM v WHERE template IS NULL))) k
+    LEFT JOIN (SELECT host, node, branch, CASE count(*) OVER g WHEN 1 THEN branch
+            ELSE '{{' || array_to_string(list_sort(list(branch) OVER g), ',') || '}}' END AS name
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY host, node, labelled ORDER BY share, branch) AS class
+            FROM (SELECT *, CASE WHEN coalesce({_close('bad', 'lag(bad) OVER o', 'good', 'lag(good) OVER o')}
+                    AND {_close('ends', 'lag(ends) OVER o', 'n - ends', 'lag(n) OVER o - lag(ends) OVER o')}, false) THEN 0 ELSE 1 END AS fresh
+                FROM (SELECT host, node, branch, sum(n) AS n, sum(good) AS good, sum(bad) AS bad, sum(ending) AS ends,
+                        sum(good) + sum(bad) > 0 AS labelled, (sum(bad) + 2) / (sum(good) + sum(bad) + 4) AS share
+                    FROM (SELECT *, CASE WHEN total >= {templates.SUPPORT} AND child <> '' THEN
+                                CASE WHEN kn >= {templates.SUPPORT} AND kn * {templates.RARE} >= total THEN child ELSE '*' END END AS branch
+                        FROM (SELECT *, sum(n) OVER (PARTITION BY host, node) AS total, sum(n) OVER (PARTITION BY host, node, child) AS kn
+                            FROM (SELECT *, coalesce(string_split(shape, '/')[d], '') AS child,
+                                CASE len(string_split(shape, '/')) WHEN d THEN n ELSE 0 END AS ending FROM v WHERE template IS NULL)))
+                    WHERE branch IS NOT NULL GROUP BY host, node, branch)
+                WINDOW o AS (PARTITION BY host, node, labelled ORDER BY share, branch)))
+        WINDOW g AS (PARTITION BY host, node, labelled, class)) m ON m.host = k.host AND m.node = k.node AND m.branch = k.branch),
+t AS (SELECT host, shape, template, sum(good) OVER (PARTITION BY host, template) AS good, sum(bad) OVER (PARTITION BY host, template) AS bad FROM v WHERE template IS NOT NULL)
+SELECT page_id, host, path, rule, template, coalesce(ruled, CASE WHEN good + bad > 0 AND (bad + 2) / (good + bad + 4) >= {templates.REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+FROM l JOIN t USING (host, shape)""")
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every address judged by the longest rule, or by its host's path templates, which learn from the pages under rules."""
+    return templates.judge_urls(table(spark, sf_dir, "pages"), RULES).drop("purity")
