@@ -1,5 +1,4 @@
-"""Clustering operators. Checked ones run on a grouping given by a rule over the features; fitted ones are
-rows-only."""
+"""Clustering operators. Some run on a grouping given by a rule over the features; fitted ones are fitted by the SQL as well."""
 
 from pyspark.sql import functions as F
 
@@ -12,6 +11,8 @@ from urlsieve.operators import ranking as K
 from urlsieve.operators.shape import restrict_class
 from urlsieve.operators.standardise import fit_moments, standardise
 from urlsieve.plans import clustering as P
+from urlsieve.session import scratch_path
+from urlsieve.sources import bundles
 
 NAMES = tuple(FEATURE_NAMES)
 
@@ -181,41 +182,182 @@ def dbscan_sweep(spark, sf_dir):
     return rounded(C.dbscan_sweep(z_scores(spark, sf_dir), NAMES, n=C.DBSCAN_SAMPLE))
 
 
-# ---- fitted, rows only
-
-@query()
+# ---- fitted: the SQL draws the same starts and walks to the same centres, k and restart by k and restart
+
+_N = tuple(f"x.{n}" for n in NAMES)
+
+
+def _far(a, b):
+    return "round(" + " + ".join(f"pow({a}.{n} - {b}.{n}, 2)" for n in NAMES) + ", 9)"
+
+
+def _kmeans(p, z, ks, restarts=10):
+    """CTEs {p}fit (k, c, the winning centres), {p}row (k, row_id, c) and {p}all (k, inertia) over the z-scores ``z``."""
+    race = f"-ln((('0x' || substr(md5('{SEED}|' || r || '|' || s || '|' || row_id), 1, 13))::BIGINT + 0.5::DOUBLE) / pow(16::DOUBLE, 13)) / d"
+    own = ", ".join(NAMES)
+    moved = ", ".join(f"coalesce(n.{n}, m.{n}) AS {n}" for n in NAMES)
+    way = " + ".join(f"pow(coalesce(n.{n}, m.{n}) - m.{n}, 2)" for n in NAMES)
+    means = ", ".join(f"avg(x.{n}) AS {n}" for n in NAMES)
+    return f"""{p}x AS MATERIALIZED (SELECT row_id, {own} FROM {z}),
+{p}st(s, r, row_id, d) AS (
+  SELECT CAST(0 AS BIGINT), r, row_id, CAST(1 AS DOUBLE) FROM {p}x CROSS JOIN range({restarts}) t(r)
+  UNION ALL SELECT o.s + 1, o.r, o.row_id, CASE o.s WHEN 0 THEN {_far('x', 'y')} ELSE least(o.d, {_far('x', 'y')}) END
+  FROM {p}st o JOIN (SELECT s, r, min({{'t': {race}, 'id': row_id}}).id AS pick FROM {p}st WHERE d > 0 GROUP BY s, r) q ON q.s = o.s AND q.r = o.r
+  JOIN {p}x x ON x.row_id = o.row_id JOIN {p}x y ON y.row_id = q.pick WHERE o.s < {max(ks) - 1}),
+{p}pick AS MATERIALIZED (SELECT s, r, min({{'t': {race}, 'id': row_id}}).id AS row_id FROM {p}st WHERE d > 0 GROUP BY s, r),
+{p}km(k, r, c, i, go, {own}) AS (
+  SELECT k, r, s, 0, true, {own} FROM {p}pick JOIN {p}x USING (row_id) JOIN (VALUES {', '.join(f'({k})' for k in ks)}) t(k) ON s < k
+  UNION ALL SELECT m.k, m.r, m.c, m.i + 1, sum({way}) OVER (PARTITION BY m.k, m.r) > 0.0001::DOUBLE AND m.i + 1 < 300, {moved}
+  FROM {p}km m LEFT JOIN (SELECT k, r, c, {means} FROM (
+      SELECT f.k, f.r, x.row_id, min({{'d': {_far('x', 'f')}, 'c': f.c}}).c AS c FROM {p}km f CROSS JOIN {p}x x WHERE f.go GROUP BY f.k, f.r, x.row_id) a
+    JOIN {p}x x USING (row_id) GROUP BY k, r, c) n ON n.k = m.k AND n.r = m.r AND n.c = m.c WHERE m.go),
+{p}end AS MATERIALIZED (SELECT * FROM {p}km WHERE NOT go),
+{p}near AS MATERIALIZED (SELECT k, r, row_id, min({{'d': {_far('x', 'f')}, 'c': f.c}}) AS best FROM {p}end f CROSS JOIN {p}x x GROUP BY k, r, row_id),
+{p}all AS (SELECT k, min({{'i': round(inertia, 4), 'r': r}}).r AS r, min({{'i': round(inertia, 4), 'r': r}}).i AS inertia
+  FROM (SELECT k, r, sum(best.d) AS inertia FROM {p}near GROUP BY k, r) GROUP BY k),
+{p}row AS MATERIALIZED (SELECT k, row_id, best.c AS c FROM {p}near JOIN {p}all USING (k, r)),
+{p}fit AS MATERIALIZED (SELECT e.* FROM {p}end e JOIN {p}all USING (k, r))"""
+
+
+def _candidates(p):
+    """CTE {p}metrics: k, inertia, silhouette by squared distances, min_share."""
+    dot = " + ".join(f"x.{n} * g.{n}" for n in NAMES)
+    norm = " + ".join(f"pow(x.{n}, 2)" for n in NAMES)
+    means = ", ".join(f"avg(x.{n}) AS {n}" for n in NAMES)
+    return f"""{p}of AS MATERIALIZED (SELECT k, c, count(*) AS n, avg({norm}) AS q, {means} FROM {p}row JOIN {p}x x USING (row_id) GROUP BY k, c),
+{p}ab AS (SELECT o.k, o.row_id, max(CASE WHEN g.c = o.c THEN greatest({norm} - 2 * ({dot}) + g.q, 0) * g.n / greatest(g.n - 1, 1) END) AS a,
+    min(CASE WHEN g.c <> o.c THEN greatest({norm} - 2 * ({dot}) + g.q, 0) END) AS b, max(CASE WHEN g.c = o.c THEN g.n END) AS n
+  FROM {p}row o JOIN {p}x x USING (row_id) JOIN {p}of g ON g.k = o.k GROUP BY o.k, o.row_id),
+{p}metrics AS (SELECT CAST(k AS INT) AS k, inertia, silhouette, min_share FROM {p}all
+  JOIN (SELECT k, avg(CASE WHEN n > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) AS silhouette FROM {p}ab GROUP BY k) USING (k)
+  JOIN (SELECT k, CASE WHEN count(*) < k THEN 0 ELSE min(n) END / CAST(sum(n) AS DOUBLE) AS min_share FROM {p}of GROUP BY k) USING (k)),
+{p}usable AS (SELECT * FROM {p}metrics WHERE min_share >= 0.01 OR (SELECT max(min_share) FROM {p}metrics) < 0.01),
+{p}best AS (SELECT min(k) AS k FROM {p}usable WHERE silhouette >= (SELECT max(silhouette) FROM {p}usable) - CAST(0.02 AS DOUBLE))"""
+
+
+_FIT4 = (_ASSIGNED, _kmeans("f", "z", [4]))
+
+
+@query("SELECT CAST(cluster AS INT) AS cluster, feature, round(z, 5) + 0 AS z FROM (" + " UNION ALL ".join(
+    f"SELECT c AS cluster, '{n}' AS feature, {n} AS z FROM ffit" for n in NAMES) + ")", *_FIT4)
 def kmeans_fit(spark, sf_dir):
     """Centres of the best of the operator's restarts."""
-    z = z_scores(spark, sf_dir)
-    model = C.kmeans_fit(z, NAMES, 4)
-    rows = [(c, n, float(v)) for c, centre in enumerate(model.clusterCenters()) for n, v in zip(NAMES, centre)]
-    return spark.createDataFrame(rows, "cluster int, feature string, z double")
+    model = C.kmeans_fit(z_scores(spark, sf_dir), NAMES, 4)
+    rows = [(c, n, float(v)) for c, centre in enumerate(model.centres) for n, v in zip(NAMES, centre)]
+    found = spark.createDataFrame(rows, "cluster int, feature string, z double")
+    return found.select("cluster", "feature", (F.round("z", 5) + 0).alias("z"))
 
 
-@query()
+@query("SELECT k, round(inertia, 3) AS inertia, round(silhouette, 6) AS silhouette, round(min_share, 6) AS min_share FROM fmetrics",
+       _ASSIGNED, _kmeans("f", "z", C.K_RANGE), _candidates("f"))
 def choose_k(spark, sf_dir):
-    return C.choose_k(z_scores(spark, sf_dir), NAMES)
+    found = C.choose_k(z_scores(spark, sf_dir), NAMES)
+    return found.select("k", F.round("inertia", 3).alias("inertia"), F.round("silhouette", 6).alias("silhouette"), F.round("min_share", 6).alias("min_share"))
+
+
+@query("SELECT row_id, CAST(c AS INT) AS cluster FROM frow", *_FIT4)
+def cluster_bundle(spark, sf_dir):
+    """A clustering saved, loaded and applied to the raw features of all malicious rows."""
+    rows, path = malicious(spark, sf_dir), scratch_path(spark, "clusters")
+    found = P.cluster_class(rows, NAMES, [4])
+    bundles.save_clustering(found.bundle(), path)
+    return bundles.load_clustering(path).assign(rows).select("row_id", "cluster")
+
 
+_TWICE = (_ASSIGNED, _kmeans("f", "z", C.K_RANGE), _candidates("f"),
+          """fsize AS (SELECT c AS cluster, count(*) AS n, sum(count(*)) OVER () AS every FROM frow WHERE k = (SELECT k FROM fbest) GROUP BY c)""",
+          "inside AS MATERIALIZED (SELECT m.* FROM mal m JOIN frow f ON f.row_id = m.row_id AND f.k = (SELECT k FROM fbest) AND f.c = (SELECT cluster FROM fsize WHERE n >= 0.6 * every))",
+          f"imom AS (SELECT {', '.join(f'avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}' for n in NAMES)} FROM inside)",
+          f"z2 AS (SELECT row_id, {', '.join(f'({n} - m_{n}) / s_{n} AS {n}' for n in NAMES)} FROM inside CROSS JOIN imom)",
+          _kmeans("g", "z2", C.K_RANGE), _candidates("g"),
+          "gsize AS (SELECT c AS cluster, count(*) AS n, sum(count(*)) OVER () AS every FROM grow WHERE k = (SELECT k FROM gbest) GROUP BY c)")
 
-@query()
+
+@query("""SELECT level, CAST(cluster AS INT) AS cluster, n, round(n / CAST(every AS DOUBLE), 6) AS share FROM (
+  SELECT 'first' AS level, * FROM fsize UNION ALL SELECT 'second', * FROM gsize)""", *_TWICE)
 def second_pass(spark, sf_dir):
     """Sizes of the clusters of both passes; of the first alone where no cluster holds 0.6 of the rows."""
     rows = malicious(spark, sf_dir)
     first = P.cluster_class(rows, FEATURE_NAMES)
     sizes = A.cluster_sizes(first.assigned).withColumn("level", F.lit("first"))
     second = P.second_pass(rows, first, FEATURE_NAMES)
-    if second is None:
-        return sizes
-    return sizes.unionByName(A.cluster_sizes(second.assigned).withColumn("level", F.lit("second")))
+    if second is not None:
+        sizes = sizes.unionByName(A.cluster_sizes(second.assigned).withColumn("level", F.lit("second")))
+    return rounded(sizes)
 
 
-@query()
+def _both_passes(spark, sf_dir, table):
+    rows = malicious(spark, sf_dir)
+    first = P.cluster_class(rows, FEATURE_NAMES)
+    found = P.pass_report(rows, first, "first")[table]
+    second = P.second_pass(rows, first, FEATURE_NAMES)
+    return found if second is None else found.unionByName(P.pass_report(rows, second, "second")[table])
+
+
+def _levels(select):
+    """The same over the rows of both passes: {row} their clusters, {best} the chosen k, {x} the z-scores."""
+    return " UNION ALL ".join(select.format(level=level, row=f"{p}row", best=f"{p}best", x=f"{p}x") for level, p in (("first", "f"), ("second", "g")))
+
+
+@query("SELECT level, CAST(cluster AS INT) AS cluster, feature, round(z, 5) + 0 AS z FROM (" + " UNION ALL ".join(_levels(
+    "SELECT '{level}' AS level, c AS cluster, '" + n + "' AS feature, avg(" + n + ") AS z FROM {row} JOIN {x} USING (row_id) WHERE k = (SELECT k FROM {best}) GROUP BY c") for n in NAMES)
+    + ") q JOIN (" + " UNION ALL ".join(f"SELECT 'first' AS level, '{n}' AS feature, count(DISTINCT {n}) AS values FROM mal UNION ALL SELECT 'second', '{n}', count(DISTINCT {n}) FROM inside"
+                                        for n in NAMES) + ") USING (level, feature) WHERE values > 1", *_TWICE)
+def second_pass_profiles(spark, sf_dir):
+    """Centres of both passes over the columns that vary in each."""
+    found = _both_passes(spark, sf_dir, "profiles")
+    return found.select("level", "cluster", "feature", (F.round("z", 5) + 0).alias("z"))
+
+
+@query("""SELECT level, CAST(cluster AS INT) AS cluster, type, coalesce(n, 0) AS n, round(coalesce(n, 0) / CAST(size AS DOUBLE), 6) AS share, round(of_type / CAST(every AS DOUBLE), 6) AS overall_share FROM (
+  SELECT level, cluster, sum(n) AS size FROM typed GROUP BY ALL) JOIN (SELECT level, type, sum(n) AS of_type, sum(sum(n)) OVER (PARTITION BY level) AS every FROM typed GROUP BY level, type) USING (level)
+  LEFT JOIN typed USING (level, cluster, type)""", *_TWICE,
+       "typed AS (" + _levels("SELECT '{level}' AS level, c AS cluster, type, count(*) AS n FROM {row} JOIN mal USING (row_id) WHERE k = (SELECT k FROM {best}) GROUP BY c, type") + ")")
+def second_pass_composition(spark, sf_dir):
+    """Label mix of the clusters of both passes."""
+    return rounded(_both_passes(spark, sf_dir, "composition"))
+
+
+@query("""SELECT level, CAST(cluster AS INT) AS cluster, n, round(n / CAST(every AS DOUBLE), 6) AS share, n >= 0.6 * every AS second_pass FROM (
+  SELECT level, cluster, n, every, row_number() OVER (PARTITION BY level ORDER BY n DESC, cluster) AS place FROM (
+    SELECT 'first' AS level, * FROM fsize UNION ALL SELECT 'second', * FROM gsize)) WHERE place = 1""", *_TWICE)
+def second_pass_dominance(spark, sf_dir):
+    found = _both_passes(spark, sf_dir, "dominance")
+    return rounded(found.select("level", "cluster", "n", "share", "second_pass"))
+
+
+def _axes_sql():
+    """CTE axes: loadings a_* and b_* of the first two axes after 600 rounds of simultaneous power iteration."""
+    cols = lambda v: ", ".join(f"{v}_{n}" for n in NAMES)
+    dot = lambda u, v: " + ".join(f"{u}_{n} * {v}_{n}" for n in NAMES)
+    score = lambda v: " + ".join(f"x.{n} * p.{v}_{n}" for n in NAMES)
+    start = ", ".join([*[f"1::DOUBLE + {i} / 100::DOUBLE AS a_{n}" for i, n in enumerate(NAMES)], *[f"{(-1) ** i}::DOUBLE + {i} / 50::DOUBLE AS b_{n}" for i, n in enumerate(NAMES)]])
+    sums = ", ".join(f"sum(x.{n} * sa) AS a_{n}, sum(x.{n} * sb) AS b_{n}" for n in NAMES)
+    unit = ", ".join(f"a_{n} / la AS a_{n}" for n in NAMES)
+    free = ", ".join(f"b_{n} - ab * a_{n} AS b_{n}" for n in NAMES)
+    unit_b = ", ".join(f"b_{n} / sqrt({dot('b', 'b')}) AS b_{n}" for n in NAMES)
+    sign = lambda v: f"SELECT sign(arg_max(v, abs(v))) AS s FROM (SELECT unnest([{cols(v)}]) AS v FROM pw WHERE i = 600)"
+    fixed = ", ".join(f"a_{n} * (SELECT s FROM sign_a) AS a_{n}, b_{n} * (SELECT s FROM sign_b) AS b_{n}" for n in NAMES)
+    return f"""pw(i, la, {cols('a')}, {cols('b')}) AS (SELECT 0, 1::DOUBLE, {start}
+  UNION ALL SELECT i, la, {cols('a')}, {unit_b} FROM (SELECT i, la, {cols('a')}, {free} FROM (
+    SELECT *, {dot('a', 'b')} AS ab FROM (SELECT i, la, {unit}, {cols('b')} FROM (
+      SELECT *, sqrt({dot('a', 'a')}) AS la FROM (SELECT i + 1 AS i, {sums} FROM (
+        SELECT x.*, p.i, {score('a')} AS sa, {score('b')} AS sb FROM pw p CROSS JOIN zm x WHERE p.i < 600) x GROUP BY i)))))),
+sign_a AS ({sign('a')}), sign_b AS ({sign('b')}),
+axes AS MATERIALIZED (SELECT {fixed} FROM pw WHERE i = 600)"""
+
+
+_PCA = (_ASSIGNED, "zm AS MATERIALIZED (SELECT * FROM z)", _axes_sql())
+
+
+@query("SELECT row_id, " + ", ".join(f"round({' + '.join(f'{n} * {v}_{n}' for n in NAMES)}, 4) + 0 AS {pc}" for v, pc in (("a", "pc1"), ("b", "pc2"))) + " FROM zm CROSS JOIN axes", *_PCA)
 def pca_project(spark, sf_dir):
     coords, _ = C.pca_project(z_scores(spark, sf_dir), NAMES)
-    return coords
+    return coords.select("row_id", (F.round("pc1", 4) + 0).alias("pc1"), (F.round("pc2", 4) + 0).alias("pc2"))
 
 
-@query()
+@query("SELECT component, round(v / (SELECT " + " + ".join(f"sum(pow({n}, 2))" for n in NAMES) + " FROM zm), 6) AS variance_share FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS component, sum(pow({' + '.join(f'{n} * {v}_{n}' for n in NAMES)}, 2)) AS v FROM zm CROSS JOIN axes" for i, v in ((1, "a"), (2, "b"))) + ")", *_PCA)
 def pca_variance(spark, sf_dir):
     _, shares = C.pca_project(z_scores(spark, sf_dir), NAMES)
-    return shares
+    return rounded(shares)

@@ -148,8 +148,18 @@ def feature_importance(spark, sf_dir):
     return rank_of(M.feature_importance(SMALL_FOREST(train, FEATURE_NAMES), spark, "random forest"))
 
 
-@query()
+@query(*_moments_sql("1"))
 def model_bundle(spark, sf_dir):
+    """A logistic fit saved and loaded: the loaded model still meets its optimum's moments."""
+    train, _ = split(spark, sf_dir)
+    path = scratch_path(spark, "linear")
+    bundles.save_linear(L.fit_logistic(train, FEATURE_NAMES), path)
+    found = L.moment_certificate(bundles.load_linear(path), train)
+    return found.select("feature", (F.round("moment", 3) + 0).alias("moment"))
+
+
+@query()
+def pipeline_bundle(spark, sf_dir):
     """Save, load, score with the loaded model: every row with its score, and the number of features."""
     train, test = split(spark, sf_dir)
     path = scratch_path(spark, "model")

@@ -123,7 +123,7 @@ def test_kmeans_inertia_falls(spark):
     rng = np.random.default_rng(2)
     z = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.normal(0, 1, (200, 2)))],
                               "row_id long, a double, b double")
-    costs = [C.kmeans_fit(z, ["a", "b"], k, n_init=3, max_iter=50).summary.trainingCost for k in (2, 3, 5)]
+    costs = [C.kmeans_fit(z, ["a", "b"], k, n_init=3, max_iter=50).inertia for k in (2, 3, 5)]
     assert costs == sorted(costs, reverse=True)
 
 

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, duck
 from checks.registry import QUERIES, SQL
 
-SLOW = {"second_pass", "choose_k", "compare_models", "leak_ablation"}
+SLOW = {"compare_models", "leak_ablation"}
 
 
 @pytest.fixture(scope="module")

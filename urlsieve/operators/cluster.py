@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urlsieve.operators.aggregates import cluster_sizes, long_form
 from urlsieve.operators.blocks import block_pairs, distances, reduce_pairs
+from urlsieve.operators.kmeans import KMeansFit, fit_many
 from urlsieve.operators.ranking import cluster_top_features
 from urlsieve.operators.splits import sample_n
+from urlsieve.operators.sums import task_sums
 from urlsieve.session import materialise
 
 SEED = 42
@@ -30,21 +30,16 @@ def vectorise(z: DataFrame, names, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol=out).transform(z)
 
 
-def kmeans_fit(z: DataFrame, names, k: int, n_init: int = 10, max_iter: int = 300,
-               seed: int = SEED) -> KMeansModel:
-    """The best of ``n_init`` restarts by inertia. The input is kept between restarts."""
-    data = vectorise(z, names).select("features").persist()
-    try:
-        fits = (KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(n_init))
-        return min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        data.unpersist()
+def kmeans_fit(z: DataFrame, names, k: int, n_init: int = 10, max_iter: int = 300, seed: int = SEED) -> KMeansFit:
+    """The best of ``n_init`` restarts by inertia; all of them share their scans."""
+    return fit_many(z, names, [k], n_init, max_iter, seed)[0][k]
 
 
-def assign(model: KMeansModel, z: DataFrame, names) -> DataFrame:
+def assign(model: KMeansFit, z: DataFrame, names) -> DataFrame:
     """Add ``cluster`` (in place of one that is there)."""
-    out = model.transform(vectorise(z, names))
-    return out.select(*[c for c in z.columns if c != "cluster"], F.col("prediction").alias("cluster"))
+    if tuple(names) != model.names:
+        raise ValueError(f"the clusters were fitted on {list(model.names)}")
+    return z.select(*[c for c in z.columns if c != "cluster"], model.cluster().alias("cluster"))
 
 
 def silhouette_points(assigned: DataFrame, names, max_rows: int = SILHOUETTE_SAMPLE) -> DataFrame:
@@ -91,21 +86,24 @@ def silhouette_sample(assigned: DataFrame, names, n: int, seed: int = SEED) -> D
                                                    F.count(F.lit(1)).alias("n"))
 
 
-def choose_k(z: DataFrame, names, ks=K_RANGE, n_init: int = 10, max_iter: int = 300,
-             sample: int | None = None, seed: int = SEED) -> DataFrame:
-    """k, inertia, silhouette, min_share: one row per candidate.
+def fit_all(z: DataFrame, names, ks=K_RANGE, n_init: int = 10, max_iter: int = 300, sample: int | None = None,
+            seed: int = SEED) -> tuple[dict[int, KMeansFit], DataFrame]:
+    """The fit of every k, and k, inertia, silhouette, min_share: one row per candidate. All fits share their scans.
 
     The silhouette is the linear one over all rows, or the Euclidean one on ``sample`` rows where that is asked for.
     """
-    spark = z.sparkSession
+    fits, linear = fit_many(z, names, list(ks), n_init, max_iter, seed)
     rows = []
-    for k in ks:
-        model = kmeans_fit(z, names, k, n_init, max_iter, seed)
-        assigned = assign(model, z, names)
-        smallest = min(model.summary.clusterSizes) / sum(model.summary.clusterSizes)
-        sil = silhouette_linear(assigned, names) if sample is None else silhouette_sample(assigned, names, sample, seed).first()["silhouette"]
-        rows.append((k, float(model.summary.trainingCost), sil, smallest))
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, min_share double")
+    for k, fit in fits.items():
+        sil = linear[k] if sample is None else silhouette_sample(assign(fit, z, names), names, sample, seed).first()["silhouette"]
+        rows.append((k, fit.inertia, sil, min(fit.sizes) / sum(fit.sizes)))
+    return fits, z.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, min_share double")
+
+
+def choose_k(z: DataFrame, names, ks=K_RANGE, n_init: int = 10, max_iter: int = 300,
+             sample: int | None = None, seed: int = SEED) -> DataFrame:
+    """The table of candidates alone."""
+    return fit_all(z, names, ks, n_init, max_iter, sample, seed)[1]
 
 
 def pick_k(metrics: DataFrame) -> DataFrame:
@@ -293,13 +291,22 @@ def dbscan_sweep(z: DataFrame, names, eps_values=EPS_SWEEP, min_points: int = MI
          / F.sum("weight")).alias("noise_share"))
 
 
+def pca_axes(z: DataFrame, names, k: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Axes (k, features) and their shares of the variance, from sums of products in one scan. Columns must be centred.
+
+    The sign of an axis is fixed: its greatest loading is positive.
+    """
+    d = len(names)
+    total = task_sums(z, names, [], d * d, lambda x, _: (x.T @ x).ravel()).reshape(d, d)
+    values, vectors = np.linalg.eigh(total)
+    axes = vectors[:, ::-1][:, :k].T
+    axes = axes * np.sign(axes[np.arange(k), np.abs(axes).argmax(axis=1)])[:, None]
+    return axes, values[::-1][:k] / max(values.sum(), 1e-300)
+
+
 def pca_project(z: DataFrame, names, k: int = 2):
     """(row_id, pc1..pck) of all rows and (component, variance_share). Columns must be centred."""
-    rows = vectorise(z, names)
-    model = PCA(k=k, inputCol="features", outputCol="pc").fit(rows)
-    at = vector_to_array("pc")
-    coords = model.transform(rows).select("row_id", *[at[i].alias(f"pc{i + 1}") for i in range(k)])
-    shares = z.sparkSession.createDataFrame(
-        [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance)],
-        "component int, variance_share double")
-    return coords, shares
+    axes, shares = pca_axes(z, names, k)
+    at = [F.expr(" + ".join(f"({float(v)!r}D) * `{n}`" for n, v in zip(names, axis))) for axis in axes]
+    coords = z.select("row_id", *[c.alias(f"pc{i + 1}") for i, c in enumerate(at)])
+    return coords, z.sparkSession.createDataFrame([(i + 1, float(v)) for i, v in enumerate(shares)], "component int, variance_share double")
