@@ -95,9 +95,9 @@ def cluster_top_features(spark, sf_dir):
     return rounded(K.cluster_top_features(profiles(spark, sf_dir)))
 
 
-@query("SELECT feature, round(max(abs(z)), 6) AS spread FROM profiles GROUP BY feature ORDER BY max(abs(z)) DESC, feature LIMIT 5", _PROFILES)
+@query("SELECT feature, round(max(abs(z)), 6) AS spread FROM profiles GROUP BY feature ORDER BY max(abs(z)) DESC, feature LIMIT 14", _PROFILES)
 def profile_spread(spark, sf_dir):
-    return rounded(K.profile_spread(profiles(spark, sf_dir), 5))
+    return rounded(K.profile_spread(profiles(spark, sf_dir)))
 
 
 @query("""SELECT cluster, n, round(n / CAST((SELECT count(*) FROM mal) AS DOUBLE), 6) AS share, n / CAST((SELECT count(*) FROM mal) AS DOUBLE) < 0.01 AS tiny,

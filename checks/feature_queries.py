@@ -11,6 +11,8 @@ from urlsieve.functions.parts import parse_urls as parse
 from urlsieve.operators import reference as R
 from urlsieve.operators.shape import dedupe_urls
 from urlsieve.plans.feature_table import build_feature_table
+from urlsieve.session import scratch_path
+from urlsieve.streaming import flows as S
 
 LIST_FEATURES = ("min_brand_edit_distance", "brand_lookalike", "brand_is_registered_domain", "in_top_sites",
                  "domain_rank_score", "tld_popularity")
@@ -67,6 +69,16 @@ def url_feature_table(spark, sf_dir):
     return rounded(build_feature_table(url_corpus(spark, sf_dir), reference_list(spark, sf_dir)))
 
 
+@query(f"SELECT row_id, url, {_columns(FEATURE_NAMES)} FROM feats")
+def feature_stream(spark, sf_dir):
+    """The addresses as a stream of files run to its end: the same rows as the batch table."""
+    source, out = scratch_path(spark, "arriving"), scratch_path(spark, "streamed")
+    dedupe_urls(url_corpus(spark, sf_dir)).select("row_id", "url").repartition(4).write.parquet(source)
+    arriving = S.arriving(spark, source, "row_id long, url string", files_per_batch=2)
+    S.write_stream(S.feature_stream(arriving, reference_list(spark, sf_dir)), out, scratch_path(spark, "progress"), once=True).awaitTermination()
+    return rounded(spark.read.parquet(out))
+
+
 @query(f"""SELECT row_id, url, {_columns([n for n in FEATURE_NAMES if n not in LIST_FEATURES])},
   CAST(coalesce(d.d, 99) AS INT) AS min_brand_edit_distance,
   CAST(coalesce(d.d, 99) BETWEEN 1 AND 2 AS INT) AS brand_lookalike,

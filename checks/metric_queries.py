@@ -16,6 +16,8 @@ from urlsieve.operators.shape import constant_columns, dedupe_urls, flip_label
 from urlsieve.operators.splits import stratified_folds, stratified_split
 from urlsieve.plans import validation as V
 from urlsieve.plans.scoring import score_urls as plan_score_urls
+from urlsieve.session import scratch_path
+from urlsieve.streaming import flows
 
 
 def both(spark, sf_dir):
@@ -249,6 +251,19 @@ def score_urls(spark, sf_dir):
     return rounded(_scored_urls(spark, sf_dir).select("row_id", "url", "score", "trust_score", "verdict"))
 
 
+@query(f"""SELECT row_id, url, score, round((1 - score) * 100, 6) AS trust_score, {_VERDICT} AS verdict, warnings, reassurances
+  FROM scored_a JOIN (SELECT row_id, {_REASONS} FROM feats) USING (row_id)""")
+def score_stream(spark, sf_dir):
+    """Addresses scored as a stream of files run to its end."""
+    from checks.corpus import reference_list
+    source, out = scratch_path(spark, "arriving"), scratch_path(spark, "streamed")
+    dedupe_urls(url_corpus(spark, sf_dir)).select("row_id", "url").repartition(4).write.parquet(source)
+    rows = flows.score_stream(flows.arriving(spark, source, "row_id long, url string"), scorecard("a"), reference_list(spark, sf_dir))
+    flows.write_stream(rows, out, scratch_path(spark, "progress"), once=True).awaitTermination()
+    told = [F.concat_ws("; ", c).alias(c) for c in ("warnings", "reassurances")]
+    return rounded(spark.read.parquet(out).select("row_id", "url", "score", "trust_score", "verdict", *told))
+
+
 @query(f"""SELECT row_id, url, round_even((1 - score) * 100 * 10, 0) / 10 AS trust_score, {_VERDICT} AS verdict, warnings,
   reassurances, CASE WHEN warnings = '' AND reassurances = '' THEN '{S.NO_SIGNAL}' ELSE '' END AS note
   FROM scored_a JOIN (SELECT row_id, {_REASONS} FROM feats) USING (row_id)""")
@@ -399,11 +414,11 @@ def external_alarm_verdict(spark, sf_dir):
 
 # ---- rankings of importances, and the importance by shuffling
 
-@query("SELECT feature, round(importance, 6) AS importance FROM drops ORDER BY round(importance, 9) DESC, feature LIMIT 5",
+@query("SELECT feature, round(importance, 6) AS importance FROM drops ORDER BY round(importance, 9) DESC, feature LIMIT 20",
        "drops AS (SELECT feature, round(abs(corr), 9) AS importance FROM (" + " UNION ALL ".join(
            f"SELECT '{n}' AS feature, corr({n}, label) AS corr FROM feats" for n in FEATURE_NAMES) + ") WHERE NOT isnan(corr))")
 def importance_topk(spark, sf_dir):
-    return rounded(K.importance_topk(_correlations(spark, sf_dir), 5).select("feature", "importance"))
+    return rounded(K.importance_topk(_correlations(spark, sf_dir), 20).select("feature", "importance"))
 
 
 _CORR = tuple(FEATURE_NAMES)

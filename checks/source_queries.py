@@ -3,19 +3,20 @@
 from pyspark.sql import functions as F
 
 from checks.corpus import SEED, reference_list, scored, stored_features, top_sites, url_corpus
-from checks.register import query, r6, rounded
-from urlsieve.functions.features import FEATURE_NAMES
+from checks.register import query, rounded
+from urlsieve.functions.features import DOUBLE_FEATURES, FEATURE_NAMES
 from urlsieve.operators.score import trust_score, verdict
 from urlsieve.plans.feature_table import build_feature_table
 from urlsieve.session import scratch_path
 from urlsieve.sources import readers, writers
 
 
-@query("SELECT url, type, count(*) AS n FROM corpus GROUP BY url, type")
+@query("SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, url, type FROM corpus")
 def read_labelled_urls(spark, sf_dir):
+    """Rows are numbered in the order of the files' lines."""
     path = scratch_path(spark, "labelled")
-    url_corpus(spark, sf_dir).select("url", "type").write.option("header", True).csv(path)
-    return readers.read_labelled_urls(spark, path).groupBy("url", "type").agg(F.count("row_id").alias("n"))
+    url_corpus(spark, sf_dir).repartitionByRange("row_id").sortWithinPartitions("row_id").select("url", "type").write.option("header", True).csv(path)
+    return readers.read_labelled_urls(spark, path).select("row_id", "url", "type")
 
 
 @query("SELECT rank, domain FROM lines")
@@ -65,23 +66,25 @@ def read_external_sampled(spark, sf_dir):
     return readers.read_external_labelled(spark, external_csv(spark, sf_dir), sample=1000).select("url", "label")
 
 
-@query("SELECT row_id, url, type, label, is_malformed, url_length, round(char_continuation_rate, 6) AS char_continuation_rate FROM feats")
+_ALL = ", ".join(f"round({n}, 6) AS {n}" if n in DOUBLE_FEATURES else n for n in FEATURE_NAMES)
+
+
+@query(f"SELECT row_id, url, type, label, {_ALL} FROM feats")
 def read_feature_table(spark, sf_dir):
     path = scratch_path(spark, "table")
     writers.write_feature_table(stored_features(spark, sf_dir), path)
     df, names = readers.read_feature_table(spark, path)
-    return rounded(df.select("row_id", "url", "type", "label", names[0], names[1], names[-1]))
+    return rounded(df.select("row_id", "url", "type", "label", *names))
 
 
-@query(f"SELECT url, type, label, {', '.join(n for n in FEATURE_NAMES[:4])}, {r6('entropy_url', 'domain_rank_score')} FROM feats")
+@query(f"SELECT url, type, label, {_ALL} FROM feats")
 def write_feature_table(spark, sf_dir):
     path = scratch_path(spark, "features-csv")
     writers.write_feature_table(
         build_feature_table(url_corpus(spark, sf_dir), reference_list(spark, sf_dir)), path, fmt="csv")
     back = spark.read.options(**readers.CSV).csv(path)
     return rounded(back.select("url", "type", F.col("label").cast("int").alias("label"),
-                               *[F.col(n).cast("int").alias(n) for n in FEATURE_NAMES[:4]],
-                               *[F.col(n).cast("double").alias(n) for n in ("entropy_url", "domain_rank_score")]))
+                               *[F.col(n).cast("double" if n in DOUBLE_FEATURES else "int").alias(n) for n in FEATURE_NAMES]))
 
 
 @query("SELECT type, count(*) AS n FROM uniq GROUP BY type")

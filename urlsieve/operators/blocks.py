@@ -1,4 +1,4 @@
-"""All-distances work over a bounded table, cut into block pairs.
+"""All-distances work over a bounded table, cut into block pairs, or into the cells of a grid where all pairs count.
 
 Rows are grouped into blocks of a few hundred, blocks meet in an equi-join, and a task reduces the
 distances of one block pair to sums, counts or labels per row. No pair of rows is ever emitted.
@@ -15,23 +15,20 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 256
 PAIRS_PER_TASK = 128
-#: Where all blocks meet, rows are dealt into so many bins first.
-ALL_BINS = 8
+#: Rows of either side in a cell of the grid over all pairs, and rows measured at a time.
+CELL_ROWS = 4096
+STRIPE_ROWS = 256
 
 
-def block_pairs(points: DataFrame, carry, width: float | None = None,
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+def block_pairs(points: DataFrame, carry, width: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per ordered pair of blocks: a, b, vec_a, vec_b (flattened) and each carried column of both.
 
-    ``points`` has id, vec and the ``carry`` columns. With ``width``, only block pairs that may hold a pair
-    within that distance are formed: rows are binned by the length of their vector, which differs by no
-    more than their distance, so neighbours sit in the same or the next bin. A crowded bin is split by hash.
+    ``points`` has id, vec and the ``carry`` columns. Only block pairs that may hold a pair within ``width`` are formed: rows
+    are binned by the length of their vector, which differs by no more than their distance, so neighbours sit in the same or the
+    next bin. A crowded bin is split by hash.
     """
-    if width is None:
-        bin_of = F.pmod(F.xxhash64("id"), F.lit(ALL_BINS))
-    else:
-        norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x))
-        bin_of = F.floor(norm / F.lit(width))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x))
+    bin_of = F.floor(norm / F.lit(width))
     binned = points.select("id", "vec", *carry, bin_of.alias("_bin"))
     sizes = binned.groupBy("_bin").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
     placed = binned.join(sizes, "_bin").withColumn("_slot", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_blocks")))
@@ -43,8 +40,7 @@ def block_pairs(points: DataFrame, carry, width: float | None = None,
     cols = ["id", "vec", *carry]
     # pairs of block names come from the small table of bins; each side then meets its name in an equi-join
     counts = sizes.select("_bin", F.col("_blocks").cast("bigint").alias("_n"))
-    others = (F.array(*[F.lit(b).cast("bigint") for b in range(ALL_BINS)]) if width is None
-              else F.array(*[F.col("_bin") + d for d in (-1, 0, 1)]))
+    others = F.array(*[F.col("_bin") + d for d in (-1, 0, 1)])
     near = (counts.select("_bin", "_n", F.explode(others).alias("_other"))
             .join(counts.select(F.col("_bin").alias("_other"), F.col("_n").alias("_m")), "_other"))
     named = near.select("_bin", "_other", "_m", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("_x"))
@@ -84,3 +80,38 @@ def reduce_pairs(pairs: DataFrame, reduce: Callable[[dict], dict | None], schema
                     yield pa.RecordBatch.from_pydict({n: out[n] for n in names})
 
     return pairs.repartition(tasks, "a", "b").mapInArrow(run, schema)
+
+
+def reduce_grid(points: DataFrame, carry, reduce: Callable[[dict], dict | None], schema: str, max_rows: int,
+                cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Apply ``reduce`` to all pairs of rows, those of a row with itself among them; columns as in ``reduce_pairs``.
+
+    Rows are dealt by hash to the slots of a square grid and sent to all cells of one grid row and one grid column. So a row moves
+    twice the grid's side, which is ``max_rows / cell_rows``, and bytes moved don't follow the number of pairs. A cell
+    holds its rows of both sides and hands them on a stripe at a time.
+    """
+    side = max(1, -(-max_rows // cell_rows))
+    names = [c.split()[0] for c in schema.split(",")]
+    slot = F.pmod(F.xxhash64("id"), F.lit(side)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(side - 1))
+    cells = F.explode(F.concat(F.transform(every, lambda j: F.struct(slot.alias("i"), j.alias("j"), F.lit(True).alias("first"))),
+                               F.transform(every, lambda i: F.struct(i.alias("i"), slot.alias("j"), F.lit(False).alias("first")))))
+    dealt = points.select("id", "vec", *carry, cells.alias("c")).select("c.*", "id", "vec", *carry)
+
+    def run(cell: pa.Table) -> pa.Table:
+        side_a = cell.column("first").to_numpy()
+        vec = cell.column("vec").combine_chunks().values.to_numpy(zero_copy_only=False).reshape(cell.num_rows, -1)
+        held = {n: cell.column(n).to_numpy() for n in ("id", *carry)}
+        rows_a, rows_b = np.flatnonzero(side_a), np.flatnonzero(~side_a)
+        out = []
+        for at in range(0, len(rows_a), STRIPE_ROWS):
+            pair = {}
+            for end, rows in (("a", rows_a[at:at + STRIPE_ROWS]), ("b", rows_b)):
+                pair |= {f"{n}_{end}": v[rows] for n, v in held.items()} | {f"vec_{end}": vec[rows].ravel()}
+            found = reduce(pair) if len(rows_b) else None
+            if found is not None:
+                out.append(pa.table({n: found[n] for n in names}))
+        return pa.concat_tables(out) if out else pa.table({n: pa.array([], t) for n, t in zip(names, kinds)})
+
+    kinds = [{"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}[c.split()[1]] for c in schema.split(",")]
+    return dealt.groupBy("i", "j").applyInArrow(run, schema)

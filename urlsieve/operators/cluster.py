@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urlsieve.operators.aggregates import cluster_sizes, long_form
-from urlsieve.operators.blocks import block_pairs, distances, reduce_pairs
+from urlsieve.operators.blocks import block_pairs, distances, reduce_grid, reduce_pairs
+from urlsieve.operators.joins import fits_broadcast, lookup
 from urlsieve.operators.kmeans import KMeansFit, fit_many
+from urlsieve.operators.numbering import number_rows
 from urlsieve.operators.ranking import cluster_top_features
 from urlsieve.operators.splits import sample_n
 from urlsieve.operators.sums import task_sums
-from urlsieve.session import materialise
+from urlsieve.session import materialise, stage_table
 
 SEED = 42
 K_RANGE = tuple(range(2, 9))
@@ -60,8 +62,7 @@ def silhouette_points(assigned: DataFrame, names, max_rows: int = SILHOUETTE_SAM
                 "other": np.repeat(seen, n), "total": np.concatenate([s for s, _ in of]),
                 "n": np.repeat(np.array([c for _, c in of], dtype=np.int64), n)}
 
-    parts = reduce_pairs(block_pairs(points, ["cluster"]), sums,
-                         "id bigint, own int, other int, total double, n bigint", max_rows)
+    parts = reduce_grid(points, ["cluster"], sums, "id bigint, own int, other int, total double, n bigint", max_rows)
     per = parts.groupBy("id", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     same = F.col("own") == F.col("other")
     a = F.max(F.when(same & (F.col("n") > 1), F.col("total") / F.when(F.col("n") > 1, F.col("n") - 1)))
@@ -270,10 +271,10 @@ def dbscan(z: DataFrame, names, eps: float, min_points: int = MIN_POINTS,
     """
     points = materialise(_points(z, names))
     found = dbscan_points(points, [eps], min_points, max_rows)
-    # A cluster has at least one core point, that is min_points rows; this window is over clusters only.
-    numbers = found.where("core").select("label").distinct().withColumn(
-        "cluster", F.row_number().over(Window.orderBy("label")) - 1)
-    found = found.join(F.broadcast(numbers), "label", "left").select(
+    numbers = number_rows(found.where("core").select(F.col("label").cast("string").alias("_label"), "label").distinct(), ["label"])
+    numbers = stage_table(numbers.select("_label", (F.col("place") - 1).cast("int").alias("cluster")), "clusters")
+    rows, text = numbers.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("_label")), F.lit(0))).first()
+    found = lookup(found.withColumn("_label", F.col("label").cast("string")), numbers, "_label", fits_broadcast(rows, text), "id").select(
         F.col("id").alias("rep"), "core", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
     copies = points.groupBy("vec").agg(F.min("id").alias("rep"))
     return (points.join(copies, "vec").join(found, "rep")

@@ -51,4 +51,7 @@ def spread_lookup(left: DataFrame, right: DataFrame, key: str, spread_by: str,
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, small: bool, spread_by: str) -> DataFrame:
+    """A stream is joined to the whole list batch by batch, since its keys cannot be counted before."""
+    if left.isStreaming and not small:
+        return left.join(right, key, "left")
     return broadcast_lookup(left, right, key) if small else spread_lookup(left, right, key, spread_by)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from urlsieve.operators.aggregates import count_if, ratio
 from urlsieve.operators.evaluate import stack_results
+from urlsieve.operators.numbering import number_rows
 from urlsieve.operators.shape import feature_contract
 from urlsieve.operators.splits import hash_key, sample_n, stratified_folds
 from urlsieve.session import ensure_checkpoint_dir, stage_table
@@ -152,25 +153,21 @@ def permutation_importance(scorer: Callable[[DataFrame], DataFrame], test: DataF
     """feature, importance: mean drop of recall when the feature is shuffled, on all rows or, if asked, ``n`` of them.
 
     Every (feature, repeat) is a shuffle of the sample: rows in hash order take the value of the row at the
-    same place in row order. All of them are scored in one job.
+    same place in row order. The places of all copies are exact and come from ranges of (copy, hash), so that a copy of any
+    size is spread over many tasks; only hashes and single values are shuffled, and all copies are scored in one job.
     """
-    sample = test if n is None else sample_n(test, n, seed=seed)
+    sample = stage_table(test if n is None else sample_n(test, n, seed=seed), "permuted")
     base = recall_by(scorer(sample)).select("recall").scalar()
-    case = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
-                               for f in names for r in range(repeats)]))
-    cases = sample.select("*", case.alias("_c")).select("*", F.col("_c.f").alias("_f"),
-                                                        F.col("_c.r").alias("_r")).drop("_c")
-    # Each window holds one copy of the rows.
-    group = Window.partitionBy("_f", "_r")
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), "_f", F.col("_r").cast("string"),
-                            F.col("row_id").cast("string")))
-    cases = (cases.withColumn("_row", F.row_number().over(group.orderBy("row_id")))
-             .withColumn("_key", key)
-             .withColumn("_shuffled", F.row_number().over(group.orderBy("_key", "row_id"))))
-    value = F.coalesce(*[F.when(F.col("_f") == f, F.col(f).cast("double")) for f in names])
-    values = cases.select("_f", "_r", F.col("_row").alias("_shuffled"), value.alias("_value"))
     types = dict(sample.dtypes)
-    mixed = cases.join(values, ["_f", "_r", "_shuffled"]).withColumns({
+    case = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r")) for f in names for r in range(repeats)]))
+    copies = sample.select("row_id", case.alias("_c")).select("row_id", F.col("_c.f").alias("_f"), F.col("_c.r").alias("_r"))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), "_f", F.col("_r").cast("string"), F.col("row_id").cast("string")))
+    takes = number_rows(copies.withColumn("_key", key), ["_key", "row_id"], ["_f", "_r"], "_place").drop("_key")
+    placed = number_rows(sample.select("row_id", *names), ["row_id"], name="_place")
+    values = placed.select("_place", F.posexplode(F.array(*[F.col(f).cast("double") for f in names])).alias("_j", "_value"))
+    named = F.element_at(F.array(*map(F.lit, names)), F.col("_j") + 1)
+    moved = takes.join(values.select("_place", named.alias("_f"), "_value"), ["_place", "_f"]).drop("_place")
+    mixed = sample.join(moved, "row_id").withColumns({
         f: F.when(F.col("_f") == f, F.col("_value")).otherwise(F.col(f)).cast(types[f]) for f in names})
     drops = recall_by(scorer(mixed), "_f", "_r").select(
         F.col("_f").alias("feature"), (base - F.col("recall")).alias("_drop"))

@@ -138,6 +138,15 @@ def near_hosts(df: DataFrame, ref: ReferenceList, host: str = PREFIX + "host",
     return NearHosts(stored, fits_broadcast(rows, text), counts)
 
 
+def listed_brand_distance(host: Column, brands: list[str], cutoff: int = V.BRAND_CUTOFF) -> Column:
+    """The same distance as one expression over the list's brands (at most BRAND_LIST_SIZE); null when none is near."""
+    words = F.array_distinct(T.host_tokens(host, V.MIN_BRAND_LENGTH))
+    near = lambda w, b: F.abs(F.length(w) - F.length(b)) <= cutoff
+    of_word = lambda w: F.array_min(F.transform(F.filter(F.array(*map(F.lit, brands)), lambda b: near(w, b)),
+                                                lambda b: T.edit_distance(w, b, cutoff)))
+    return F.array_min(F.transform(words, of_word))
+
+
 def brand_proximity(df: DataFrame, ref: ReferenceList | None, host: str = PREFIX + "host",
                     spread_by: str = "url", near: NearHosts | None = None) -> DataFrame:
     """Add ``_brand_distance``: least edit distance of any word of the host to a brand, 99 when none is near.
@@ -147,6 +156,10 @@ def brand_proximity(df: DataFrame, ref: ReferenceList | None, host: str = PREFIX
     """
     if ref is None:
         return df.withColumn("_brand_distance", builtin_brand_distance(F.col(host)))
+    if df.isStreaming:
+        brands = [r["brand"] for r in ref.brands.select("brand").collect()]
+        found = listed_brand_distance(F.col(host), brands) if brands else F.lit(None)
+        return df.withColumn("_brand_distance", F.coalesce(found, F.lit(V.NO_BRAND_DISTANCE)))
     near = near_hosts(df, ref, host) if near is None else near
     if near.small:
         joined = broadcast_lookup(df, near.table, host)

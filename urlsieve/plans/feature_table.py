@@ -28,13 +28,13 @@ def url_feature_table(df: DataFrame, reference: ReferenceList | None = None, col
     Without a reference list the rank and share features are 0 and brands come from the built-in list; the
     whole plan is then one narrow projection. With one, rank, share and brand lookups are joins: broadcasts
     while the lists fit. When the hosts near a brand do not fit, that join shuffles the addresses and so runs
-    first, while rows are still narrow. ``hosts_from`` may name a table with the same addresses that is cheaper to read.
+    first, while rows are still narrow. On a stream the distance is an expression, and no state is kept. ``hosts_from`` may name a table with the same addresses that is cheaper to read.
     """
     features = FEATURES if features is None else features
     keep = df.columns
     with_distance = any(n in features for n in _DISTANCE)
     near = None
-    if with_distance and reference is not None:
+    if with_distance and reference is not None and not df.isStreaming:
         near = near_hosts(_hosts((df if hosts_from is None else hosts_from).select(col), col), reference)
     if near is not None and not near.small:
         narrow = brand_proximity(_hosts(df, col), reference, spread_by=col, near=near)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from urlsieve.functions.features import FEATURE_NAMES
 from urlsieve.functions.parts import BLANKS
+from urlsieve.operators.numbering import number_lines
 from urlsieve.operators.shape import distinct_ordered, flip_label, require_columns
 from urlsieve.operators.splits import sample_n
 
@@ -27,10 +28,13 @@ def _strip(c: Column) -> Column:
 
 
 def read_labelled_urls(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a ``url`` column and perhaps ``type`` -> row_id, line, url[, type]. No type inference."""
+    """CSV with a ``url`` column and perhaps ``type`` -> row_id, line, url[, type]. No type inference.
+
+    ``row_id`` counts the rows of the files in order from 0, however they are split.
+    """
     raw = require_columns(spark.read.options(**_CSV).csv(path), ["url"])
     cols = [c for c in ("url", "type") if c in raw.columns]
-    return raw.select(F.monotonically_increasing_id().alias("row_id"), line_order().alias("line"), *cols)
+    return number_lines(raw.select(line_order().alias("line"), *cols))
 
 
 def read_reference_list(spark: SparkSession, path: str) -> DataFrame:
