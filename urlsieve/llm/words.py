@@ -1,7 +1,7 @@
 """Words, word hashes and shingle hashes of whole texts, for many documents at once in NumPy.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D of the UTF-8 text, A-Z lower-cased. Arrow batches
-are cut into chunks of whole documents of about a megabyte, so memory follows the longest document only.
+are cut into chunks of whole documents of about a megabyte before anything is copied, so memory follows the longest document only.
 """
 
 from __future__ import annotations
@@ -59,11 +59,13 @@ def chunks(batch: pa.RecordBatch, text: str, size: int = CHUNK) -> Iterator[tupl
     """Slices of whole rows whose texts together have about ``size`` bytes, with flat bytes and offsets."""
     if not batch.num_rows:
         return
-    data, offsets = flat(batch.column(text))
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    before = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)))
     at = 0
     while at < batch.num_rows:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        yield batch.slice(at, end - at), data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at]
+        end = max(at + 1, int(np.searchsorted(before, before[at] + size, "right")) - 1)
+        part = batch.slice(at, end - at)
+        yield part, *flat(part.column(text))
         at = end
 
 
