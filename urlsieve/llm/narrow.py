@@ -11,6 +11,18 @@ from urlsieve.session import stage_table
 NARROW_ROWS = 200_000
 
 
+#: Rows of whole texts that are handed to Python at a time; it bounds memory only.
+TEXT_BATCH = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows, in Arrow batches of TEXT_BATCH at most from now on in this session, as fits whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= TEXT_BATCH:
+        df.sparkSession.conf.set(name, TEXT_BATCH)
+    return df
+
+
 def join_narrow(left: DataFrame, narrow: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join to rows of a few short columns: they are written and counted, and broadcast only below NARROW_ROWS."""
     narrow = stage_table(narrow, "narrow")

@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsieve.llm.narrow import least_by_hash
+from urlsieve.llm.narrow import least_by_hash, small_batches
 from urlsieve.llm.words import chunks, word_hashes
 
 STATS = ("log_bytes", "log_words", "word_length", "upper", "digit", "mark", "pipe", "noise", "control", "high", "newline",
@@ -56,12 +56,20 @@ def _row(text: bytes, hashes: np.ndarray, lengths: np.ndarray) -> list[float]:
             repeated, _repeats(pairs)[0], top, ends, np.log1p(lengths.max()) if w else 0.0]
 
 
-def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every row with a struct column ``stats`` of doubles; null texts count as empty and have defined statistics."""
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as a column is called so."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
+
+
+def text_stats(docs: DataFrame, text: str = "text", stats_name: str = "stats") -> DataFrame:
+    """Every row with a struct column ``stats_name`` of doubles, which must be free; null texts count as empty and have defined
+    statistics."""
     names = docs.columns
     kinds = ", ".join(f"`{n}` {k}" for n, k in docs.dtypes)
-    if "stats" in names:
-        raise ValueError("a column is already called stats")
+    if free_name(docs, stats_name) != stats_name:
+        raise ValueError(f"a column is already called {stats_name}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,9 +81,9 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
                 rows = np.array([_row(raw[offsets[i]:offsets[i + 1]], hashes[first[i]:first[i + 1]], lengths[first[i]:first[i + 1]])
                                  for i in range(part.num_rows)])
                 stats = pa.StructArray.from_arrays([pa.array(c) for c in rows.T], names=list(STATS))
-                yield pa.RecordBatch.from_arrays([*part.columns, stats], names=[*names, "stats"])
+                yield pa.RecordBatch.from_arrays([*part.columns, stats], names=[*names, stats_name])
 
-    return docs.mapInArrow(run, f"{kinds}, stats struct<{', '.join(f'{s}: double' for s in STATS)}>")
+    return small_batches(docs).mapInArrow(run, f"{kinds}, `{stats_name}` struct<{', '.join(f'{s}: double' for s in STATS)}>")
 
 
 @dataclass(frozen=True)
@@ -90,8 +98,10 @@ class Rules:
         return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, terms, F.lit(self.intercept))))
 
 
-def _holds(rule, stats: str) -> Column:
-    tests = [F.col(f"{stats}.{s}") <= bound if low else F.col(f"{stats}.{s}") > bound for s, low, bound in rule]
+def _holds(rule, stats: str | None) -> Column:
+    """Whether a rule holds of the fields of a struct, or of columns."""
+    of = lambda s: F.col(f"`{stats}`.{s}" if stats else s)
+    tests = [of(s) <= bound if low else of(s) > bound for s, low, bound in rule]
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -119,17 +129,20 @@ def fit_rules(labelled: DataFrame, bound: int = 20_000, trees: int = 12, depth:
     spark = labelled.sparkSession
     local = VectorAssembler(inputCols=list(STATS), outputCol="x").transform(spark.createDataFrame(held).coalesce(2)).cache()
     booster = GBTClassifier(featuresCol="x", labelCol="label", maxDepth=depth, maxIter=trees, maxBins=64, seed=7, subsamplingRate=0.8).fit(local)
-    local.unpersist()
     fitted = booster._java_obj.trees()
     rules = sorted({path for i in range(len(fitted)) for path in _paths(fitted[i].rootNode())})
-    columns = np.array([np.all([held[s] <= b if low else held[s] > b for s, low, b in rule], axis=0) for rule in rules], float).T
-    frame = spark.createDataFrame([(float(y), x.tolist()) for y, x in zip(held.label, columns)], "label double, r array<double>")
+    met = F.array(*[_holds(rule, None).cast("double") for rule in rules])
+    frame = local.select("label", array_to_vector(met).alias("x")).cache()
     lasso = LogisticRegression(featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=200)
-    model = lasso.fit(frame.select("label", array_to_vector("r").alias("x")).coalesce(2).cache())
+    model = lasso.fit(frame)
+    frame.unpersist()
+    local.unpersist()
     weights = model.coefficients.toArray()
     return Rules(float(model.intercept), tuple((r, float(w)) for r, w in zip(rules, weights) if w))
 
 
 def score_quality(docs: DataFrame, rules: Rules, text: str = "text") -> DataFrame:
-    """All columns and ``score``: 0 to 1, higher where label 1 is likelier. Empty and null texts get a score too."""
-    return text_stats(docs, text).withColumn("score", rules.score()).drop("stats")
+    """All columns and ``score`` (in place of one that is there): 0 to 1, higher where label 1 is likelier. Empty and null texts
+    get a score too."""
+    name = free_name(docs, "stats")
+    return text_stats(docs, text, name).withColumn("score", rules.score(name)).drop(name)

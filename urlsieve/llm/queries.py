@@ -86,11 +86,16 @@ def held_out(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == 2
 
 
+def learnt_rules(spark: SparkSession, stats: DataFrame, sf_dir: str) -> quality.Rules:
+    """The rules learnt from (doc_id, stats) of the documents that are labelled and not held out."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    return quality.fit_rules(stats.filter(~held_out(4)).join(labels, "doc_id"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> tuple[DataFrame, quality.Rules]:
-    """Statistics of all documents, written once, and the rules learnt from those labelled and not held out."""
+    """Statistics of all documents, written once, and the rules learnt from them."""
     stats = stage_table(quality.text_stats(docs.select("doc_id", "text")).drop("text"), "text-stats")
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    return stats, quality.fit_rules(stats.filter(~held_out(4)).join(labels, "doc_id"))
+    return stats, learnt_rules(spark, stats, sf_dir)
 
 
 @query()
