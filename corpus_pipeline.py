@@ -12,50 +12,54 @@ from pyspark.sql import functions as F
 
 from urlsieve.llm import bpe, decontaminate, jaccard, pii, quality
 from urlsieve.llm.narrow import join_narrow
-from urlsieve.llm.queries import quality_rules, table
+from urlsieve.llm.queries import learnt_rules, table
 from urlsieve.session import scratch_path, stage_table
 
 KEY = "_row_key"
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is 0.7 or more."""
-    _, rules = quality_rules(spark, docs, sf_dir)
-    return quality.score_quality(docs, rules).filter("score >= 0.7").select(*docs.columns)
+    """Documents whose quality score is 0.7 or more. Statistics are computed once, for the fit and for the scores."""
+    name = quality.free_name(docs, "stats")
+    scored = stage_table(quality.text_stats(docs, "text", name), "scored")
+    rules = learnt_rules(spark, scored.select("doc_id", F.col(name).alias("stats")), sf_dir)
+    return scored.filter(rules.score(name) >= 0.7).select(*docs.columns)
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    """All columns and KEY, a 64-bit hash of the whole row, nulls included: the same in every scan, unlike a running number."""
-    return docs.withColumn(KEY, F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]))
+def with_key(docs: DataFrame, key: str) -> DataFrame:
+    """All columns and ``key``, a 64-bit hash of the whole row, nulls included: the same in every scan, unlike a running number."""
+    return docs.withColumn(key, F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the least identifier, null last; of rows equal in all columns one.
 
-    Rows are told apart by KEY, so rows that share an identifier but not their text, or have none, are judged each on its own.
+    Rows are told apart by a hash of the row, so rows that share an identifier but not their text, or have none, are judged each on its own.
     """
-    keyed = with_key(docs)
-    groups = jaccard.similar_documents(keyed.select(F.col(KEY).alias("doc_id"), "text"))
-    groups = stage_table(groups.select(F.col("doc_id").alias(KEY), "component_id"), "groups")
-    repeated = groups.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(KEY)
-    several = groups.filter(f"{KEY} <> component_id")
-    linked = several.unionByName(several.select(F.col("component_id").alias(KEY), "component_id")).distinct()
-    named = join_narrow(keyed.select(KEY, "doc_id"), linked, KEY).distinct()
-    named = stage_table(named.select(KEY, "component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY).alias("place")), "linked")
+    key = quality.free_name(docs, KEY)
+    keyed = with_key(docs, key)
+    groups = jaccard.similar_documents(keyed.select(F.col(key).alias("doc_id"), "text"))
+    groups = stage_table(groups.select(F.col("doc_id").alias(key), "component_id"), "groups")
+    repeated = groups.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
+    several = groups.filter(f"{key} <> component_id")
+    linked = several.unionByName(several.select(F.col("component_id").alias(key), "component_id")).distinct()
+    named = join_narrow(keyed.select(key, "doc_id"), linked, key).distinct()
+    named = stage_table(named.select(key, "component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key).alias("place")), "linked")
     best = named.groupBy("component_id").agg(F.min("place").alias("best"))
-    lost = named.join(best, "component_id").filter("place <> best").select(KEY)
-    rest = join_narrow(keyed, lost, KEY, "left_anti")
+    lost = named.join(best, "component_id").filter("place <> best").select(key)
+    rest = join_narrow(keyed, lost, key, "left_anti")
     if repeated.isEmpty():
         return rest.select(*docs.columns)
-    once = join_narrow(rest, repeated, KEY).dropDuplicates([KEY])
-    return join_narrow(rest, repeated, KEY, "left_anti").unionByName(once).select(*docs.columns)
+    once = join_narrow(rest, repeated, key).dropDuplicates([key])
+    return join_narrow(rest, repeated, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a copy of a benchmark item, told apart by KEY."""
-    keyed = with_key(docs)
-    found = decontaminate.leaked(keyed, table(spark, sf_dir, "benchmark"), key=KEY)
-    return join_narrow(keyed, found.select(F.col("doc_id").alias(KEY)).distinct(), KEY, "left_anti").select(*docs.columns)
+    """Rows without a copy of a benchmark item, told apart by a hash of the row."""
+    key = quality.free_name(docs, KEY)
+    keyed = with_key(docs, key)
+    found = decontaminate.leaked(keyed, table(spark, sf_dir, "benchmark"), key=key)
+    return join_narrow(keyed, found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
