@@ -40,6 +40,19 @@ def test_edges(spark, sf_dir, texts):
     assert docs.count() == (3 if texts else 0)
 
 
+def test_quality_stage_on_no_rows_and_clashing_names(spark, sf_dir):
+    """No documents give none; columns called as the stages' own ones stay as they are."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert corpus_pipeline.keep_good(spark, docs.limit(0), sf_dir).count() == 0
+    kept = corpus_pipeline.keep_good(spark, docs, sf_dir)
+    more = docs.selectExpr("*", "'mine' stats", "7 score", "lang _row_key", "1 component_id")
+    out = corpus_pipeline.keep_good(spark, more, sf_dir)
+    assert out.columns == more.columns and out.drop("stats", "score", "_row_key", "component_id").exceptAll(kept).count() == 0
+    assert out.filter("stats = 'mine' and score = 7 and _row_key = lang").count() == kept.count() > 50
+    one = corpus_pipeline.keep_one_of_each(spark, out, sf_dir)
+    assert one.columns == more.columns and one.count() == corpus_pipeline.keep_one_of_each(spark, kept, sf_dir).count()
+
+
 def test_repeated_and_null_identifiers(spark, sf_dir):
     """Rows are judged each on its own: unlinked texts under one id stay, copies and leaks without an id go."""
     text = lambda s: " ".join(f"{s}{i}" for i in range(40))
