@@ -20,6 +20,9 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb2
 
+from urlsieve.llm.narrow import small_batches
+from urlsieve.llm.words import chunks
+
 SHIFT = 0x100
 _UNKNOWN = "⁇"
 _MAP = {b: SHIFT + b for b in range(256)}
@@ -88,9 +91,19 @@ def _lists(parts: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _decoded(lists: pa.ListArray, token: list[bytes]) -> pa.Array:
+    """The bytes of each list of ids; null for null."""
+    flat, ends = np.asarray(lists.values), np.asarray(lists.offsets)
+    if len(flat) and flat.min() < 0:
+        raise ValueError("negative id")
+    get, some = token.__getitem__, np.asarray(lists.is_valid())
+    return pa.array([b"".join(map(get, flat[a:b].tolist())) if ok else None for a, b, ok in zip(ends[:-1], ends[1:], some)], pa.binary())
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text", decoded: str | None = None) -> DataFrame:
     """(key, ids array<int>): every whole text, each match of ``pattern`` encoded by itself; null counts as empty.
 
+    With ``decoded``, a column of that name holds the bytes that the ids stand for, as ``decode`` gives them, made in the same pass.
     An empty text gives an empty list. Repeated rows and keys stay as they are; other columns are left out.
     The model (about 1 MB, the size of the vocabulary) is broadcast.
     """
@@ -100,16 +113,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
         cache, split = _cache(model.value), regex.compile(pattern).findall
         get = cache.__getitem__
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part, _, _ in chunks(batch, "text"):
                 pres = [split(t or "") for t in part.column(1).to_pylist()]
                 cache.learn(pres)
                 ids = _lists([b"".join(map(get, p)) for p in pres])
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["key", "ids"])
+                back = [_decoded(ids, cache.token)] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, *back], names=["key", "ids", "back"][:2 + len(back)])
 
     kind = dict(docs.dtypes)[key]
-    out = docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, f"key {kind}, ids array<int>")
-    return out.withColumnRenamed("key", key)
+    texts = small_batches(docs.select(docs[key].alias("key"), docs[text].alias("text")))
+    out = texts.mapInArrow(run, f"key {kind}, ids array<int>" + (", back binary" if decoded else ""))
+    return out.withColumnsRenamed({"key": key, "back": decoded} if decoded else {"key": key})
 
 
 def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str = "bytes") -> DataFrame:
@@ -118,17 +132,11 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: s
     names = tokens.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = _cache(model.value).token.__getitem__
+        token = _cache(model.value).token
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                lists = part.column(names.index(ids))
-                flat, ends = np.asarray(lists.values), np.asarray(lists.offsets)
-                if len(flat) and flat.min() < 0:
-                    raise ValueError("negative id")
-                some = np.asarray(lists.is_valid())
-                out = [b"".join(map(get, flat[a:b].tolist())) if ok else None for a, b, ok in zip(ends[:-1], ends[1:], some)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*names, into])
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(part.column(names.index(ids)), token)], names=[*names, into])
 
     kinds = ", ".join(f"`{n}` {k}" for n, k in tokens.dtypes)
     return tokens.mapInArrow(run, f"{kinds}, `{into}` binary")

@@ -30,8 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again; the digests are taken of the ids and of the decoded bytes."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(ids, ranks).select(
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded="bytes").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
@@ -77,7 +76,7 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit('{"query":'), quoted, F.lit(' ,"limit": '), limit, F.lit("}")))
     calls = turns.filter("role = 'assistant'").select(
         "conv_id", name_id(turn).alias("call_id"), name.alias("name"), arguments.alias("arguments"), name_id(turn - 2).alias("parent_id"))
-    results = turns.filter("role = 'user'").select(name_id(turn - 1).alias("call_id"), text.alias("content"))
+    results = turns.filter("role = 'user'").select("conv_id", name_id(turn - 1).alias("call_id"), text.alias("content"))
     return toolcalls.link_calls(calls, results, TOOLS)
 
 

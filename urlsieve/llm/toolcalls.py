@@ -21,24 +21,32 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.try_parse_json(json))
 
 
-def depths(calls: DataFrame, call_id: str = "call_id", parent: str = "parent_id") -> DataFrame:
-    """(call_id, depth): 0 for a call without a known parent, else one more than the parent's; null on a cycle.
+def call_key(call_id: str) -> Column:
+    """A call's name in its conversation; null for a null identifier. A null conversation is one of its own."""
+    return F.when(F.col(call_id).isNotNull(), F.to_json(F.struct(F.col("conv_id").cast("string").alias("c"), F.col(call_id).cast("string").alias("i"))))
 
-    Identifiers that occur more than once count once, with the least parent. Null identifiers get no row.
+
+def depths(calls: DataFrame) -> DataFrame:
+    """(key, depth) of (key, up): 0 for a call without a known parent, else one more than the parent's; null on a cycle.
+
+    Keys that occur more than once count once, with the least parent. Null keys get no row. Calls that have reached a
+    root are only looked up, not joined again.
     """
-    nodes = (calls.filter(F.col(call_id).isNotNull()).groupBy(F.col(call_id).alias("id")).agg(F.min(parent).alias("up")))
+    nodes = calls.filter("key is not null").groupBy(F.col("key").alias("id")).agg(F.min("up").alias("up"))
     known = nodes.select(F.col("id").alias("up"), F.lit(True).alias("there"))
-    nodes = nodes.join(known, "up", "left").select("id", F.when(F.col("there"), F.col("up")).alias("up"))
-    nodes = stage_table(nodes.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "call-depths")
-    total = nodes.count()
-    rounds, open_ = 0, total
+    rooted = nodes.filter("up is null").select("id", "up", F.lit(0).cast("long").alias("depth"))
+    held = nodes.filter("up is not null").join(known, "up", "left").select(
+        "id", F.when(F.col("there"), F.col("up")).alias("up"), F.when(F.col("there"), 1).otherwise(0).cast("long").alias("depth"))
+    nodes = stage_table(rooted.unionByName(held), "call-depths")
+    total, open_ = nodes.agg(F.count(F.lit(1)), F.count("up")).first()
+    rounds = 0
     while open_ and 2 ** rounds <= 2 * total:
         above = nodes.select(F.col("id").alias("up"), F.col("up").alias("top"), F.col("depth").alias("more"))
-        nodes = stage_table(nodes.join(above, "up", "left").select(
-            "id", F.col("top").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "call-depths")
+        moved = nodes.filter("up is not null").join(above, "up").select("id", F.col("top").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
+        nodes = stage_table(nodes.filter("up is null").unionByName(moved), "call-depths")
         open_ = nodes.filter("up is not null").count()
         rounds += 1
-    return nodes.select(F.col("id").alias(call_id), F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+    return nodes.select(F.col("id").alias("key"), F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
 def violations(name: Column, arguments: Column, schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
@@ -65,14 +73,16 @@ def violations(name: Column, arguments: Column, schemas: dict[str, dict[str, tup
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     """One row per call with its result, depth, problems and canonical JSON.
 
-    calls: conv_id, call_id, name, arguments (JSON text), parent_id; results: call_id, content. A call without a
+    calls: conv_id, call_id, name, arguments (JSON text), parent_id; results: conv_id, call_id, content. Identifiers are
+    names within a conversation: calls link with results and parents of their own one only. A call without a
     result has a null one; of several results of a call the least content is taken (repeated rows change nothing).
     Results without a call are left out. Null identifiers link with nothing. Arguments that are not JSON are kept as
     a JSON string. ``depth`` orders a conversation: a call comes after every call it builds on; null marks a cycle.
     """
-    content = results.filter(F.col("call_id").isNotNull()).groupBy("call_id").agg(F.min("content").alias("content"))
-    calls = calls.select("conv_id", "call_id", "name", "arguments", "parent_id")
-    rows = calls.join(content, "call_id", "left").join(depths(calls), "call_id", "left")
+    content = results.select(call_key("call_id").alias("key"), "content").filter("key is not null").groupBy("key").agg(F.min("content").alias("content"))
+    calls = calls.select("conv_id", "call_id", "name", "arguments", "parent_id", call_key("call_id").alias("key"))
+    order = depths(calls.select("key", call_key("parent_id").alias("up")))
+    rows = calls.join(content, "key", "left").join(order, "key", "left")
     args = F.coalesce(canonical(F.col("arguments")), F.to_json(F.to_variant_object(F.struct(F.col("arguments").alias("text")))))
     quote = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
     text = lambda c: F.when(c.isNull(), F.lit("null")).otherwise(quote(c))
