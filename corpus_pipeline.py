@@ -73,8 +73,7 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): the ids of every text, and the text decoded from them."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(ids, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("bytes", "UTF-8").alias("text"))
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="bytes").select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("bytes", "UTF-8").alias("text"))
 
 
 STAGES = [("quality", keep_good), ("near copies", keep_one_of_each), ("decontamination", drop_leaks), ("personal data", redact_personal),
