@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb2
 
 from urlsieve.llm.narrow import small_batches
-from urlsieve.llm.words import chunks
+from urlsieve.llm.words import chunks, give_back
 
 SHIFT = 0x100
 _UNKNOWN = "⁇"
@@ -58,7 +58,7 @@ def model_bytes(ranks: dict[bytes, int]) -> bytes:
 class PieceCache(dict):
     """Ids of pre-tokens as int32 bytes; emptied when it would hold over ``bound`` of them, so memory is bounded."""
 
-    def __init__(self, model: bytes, bound: int = 400_000):
+    def __init__(self, model: bytes, bound: int = 100_000):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.bound = bound
         n = self.processor.get_piece_size() - 1
@@ -119,6 +119,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
                 ids = _lists([b"".join(map(get, p)) for p in pres])
                 back = [_decoded(ids, cache.token)] if decoded else []
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, *back], names=["key", "ids", "back"][:2 + len(back)])
+        give_back()
 
     kind = dict(docs.dtypes)[key]
     texts = small_batches(docs.select(docs[key].alias("key"), docs[text].alias("text")))

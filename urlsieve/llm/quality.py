@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urlsieve.llm.narrow import least_by_hash, small_batches
-from urlsieve.llm.words import chunks, word_hashes
+from urlsieve.llm.words import chunks, give_back, word_hashes
 
 STATS = ("log_bytes", "log_words", "word_length", "upper", "digit", "mark", "pipe", "noise", "control", "high", "newline",
          "line_repeats", "word_repeats", "pair_repeats", "top_word", "stop_end", "word_bytes_max")
@@ -82,6 +82,7 @@ def text_stats(docs: DataFrame, text: str = "text", stats_name: str = "stats") -
                                  for i in range(part.num_rows)])
                 stats = pa.StructArray.from_arrays([pa.array(c) for c in rows.T], names=list(STATS))
                 yield pa.RecordBatch.from_arrays([*part.columns, stats], names=[*names, stats_name])
+        give_back()
 
     return small_batches(docs).mapInArrow(run, f"{kinds}, `{stats_name}` struct<{', '.join(f'{s}: double' for s in STATS)}>")
 

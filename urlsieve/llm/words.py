@@ -6,6 +6,7 @@ are cut into chunks of whole documents of about a megabyte before anything is co
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,14 @@ _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint
 _power = np.ones(1, np.uint64)
 
 
+def give_back() -> None:
+    """Hand memory that this Python worker has freed back to the system; workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64 bits."""
     x = x ^ (x >> np.uint64(33))
