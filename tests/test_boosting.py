@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urlsieve.operators import boosting as B
+from urlsieve.sources import bundles
 
 
 def brute_tree(bins, g, h, leaves, min_rows):
@@ -91,3 +92,15 @@ def test_edges(spark, data):
     assert model.score(df.limit(0)).count() == 0
     assert model.split_counts(spark).agg(F.sum("importance")).first()[0] == 6
     assert model.nodes(spark).where("feature is null").count() == 8
+
+
+def test_saved_and_loaded(data, tmp_path):
+    df, x, _ = data
+    model = B.fit_boosted(df, "abcd", rounds=2, leaves=6)
+    bundles.save_boosted(model, str(tmp_path / "m"))
+    again = bundles.load_boosted(str(tmp_path / "m"))
+    bins = B.binned(x, again.bounds)
+    assert again.names == model.names and again.start == model.start
+    assert np.array_equal(B.margins(bins, np.zeros(700), again.trees), B.margins(bins, np.zeros(700), model.trees))
+    with pytest.raises(FileNotFoundError):
+        bundles.load_boosted(str(tmp_path / "none"))

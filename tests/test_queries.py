@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from checks.compare import compare, duck
 from checks.registry import QUERIES, SQL
 
-SLOW = {"compare_models", "leak_ablation"}
+SLOW = {"train_booster", "compare_models", "compared_errors", "compared_importances", "leak_ablation"}
 
 
 @pytest.fixture(scope="module")

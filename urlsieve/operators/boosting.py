@@ -1,9 +1,9 @@
 """Gradient boosting of trees that grow leaf by leaf, the leaf with the greatest gain first, from histograms.
 
 Values fall into at most 255 bins per feature. A scan makes the histograms of all nodes that are asked for: tasks count their rows,
-sums meet by (node, feature, bin) in a shuffle, and windows over the bins find each node's best split, so the driver gets one row
-per node. Growth by greatest gain asks for one split at a time; here the driver replays that order on the splits already known and
-asks for the children of every node it met, so a tree takes about as many scans as it has levels and is the same tree.
+sums meet by (node, feature, bin) in a shuffle, and the driver gets at most 255 sums per feature and node, however many rows there
+are. Growth by greatest gain asks for one split at a time; here the driver replays that order on the splits already known and asks
+for the children of every node it met, so a tree takes about as many scans as it has levels and is the same tree.
 
 Gradients are summed as integers (units of 2 ** -20), so the model depends neither on partitions nor on the order of rows.
 """
@@ -96,6 +96,21 @@ class BoostedTrees:
         return spark.createDataFrame(rows, "tree int, node int, feature string, bound double, left int, right int, value double, gain double")
 
 
+def from_nodes(names: Sequence[str], bounds: Sequence[Sequence[float]], start: float, nodes: DataFrame) -> BoostedTrees:
+    """The model whose ``nodes()`` these are."""
+    names, bounds, trees = tuple(names), tuple(np.asarray(b, np.float64) for b in bounds), []
+    for _, t in nodes.toPandas().sort_values(["tree", "node"]).groupby("tree"):
+        own, inner = t.node.to_numpy(np.int64), t.left.notna().to_numpy()
+        left, right = (np.where(inner, t[c].fillna(0).to_numpy(np.int64), own) for c in ("left", "right"))
+        feature = np.array([names.index(f) if i else 0 for f, i in zip(t.feature, inner)])
+        cut = np.array([int(np.searchsorted(bounds[f], x)) if i else 0 for f, x, i in zip(feature, t.bound, inner)])
+        level = np.zeros(len(own), np.int64)
+        for k in np.flatnonzero(inner):  # parents come before their children
+            level[left[k]] = level[right[k]] = level[k] + 1
+        trees.append(Tree(feature, cut, left, right, t.value.to_numpy(np.float64), t.gain.to_numpy(np.float64), int(level.max())))
+    return BoostedTrees(names, bounds, float(start), tuple(trees))
+
+
 def _number(name: str):
     return F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(float("nan")))
 
@@ -160,19 +175,26 @@ def best_splits(rows: DataFrame, trees: Sequence[Tree], tree: Tree, wanted: Sequ
                 total[k] += np.bincount(place, np.repeat(np.rint(part), d), size).astype(np.int64)
             total[2] += np.bincount(place, minlength=size)
         some = np.flatnonzero(total[2])
-        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(asked, np.int32)[some // (256 * d)]), pa.array((some // 256 % d).astype(np.int32)),
-                                          pa.array((some % 256).astype(np.int32)), *[pa.array(t[some]) for t in total]], names=["node", "feature", "bin", "g", "h", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(t[some]) for t in total]], names=["place", "g", "h", "n"])
+
+    sums = rows.mapInArrow(run, "place long, g long, h long, n long").groupBy("place").agg(*[F.sum(c).alias(c) for c in "ghn"])
+    found = sums.toArrow()  # at most a row per wanted node, feature and bin
+    place = found.column("place").to_numpy()
+    g, h, n = (np.zeros(len(wanted) * d * 256, np.int64) for _ in range(3))
+    for total, c in ((g, "g"), (h, "h"), (n, "n")):
+        total[place] = found.column(c).to_numpy()
+    return {k: _best(*[t.reshape(len(wanted), d, 256)[i] for t in (g, h, n)], min_rows) for i, k in enumerate(wanted)}
+
 
-    sums = rows.mapInArrow(run, "node int, feature int, bin int, g long, h long, n long").groupBy("node", "feature", "bin").agg(
-        *[F.sum(c).alias(c) for c in "ghn"])
-    every = Window.partitionBy("node", "feature")
-    sides = sums.select("node", "feature", "bin", *[F.sum(c).over(every.orderBy("bin")).alias(f"{c}l") for c in "ghn"], *[F.sum(c).over(every).alias(c) for c in "ghn"])
-    ok = (F.col("nl") >= min_rows) & (F.col("n") - F.col("nl") >= min_rows) & (F.col("hl") > 0) & (F.col("h") > F.col("hl"))
-    part = lambda g, h: g.cast("double") * g.cast("double") / h
-    gain = part(F.col("gl"), F.col("hl")) + part(F.col("g") - F.col("gl"), F.col("h") - F.col("hl")) - part(F.col("g"), F.col("h"))
-    best = F.struct(F.when(ok, gain / UNIT).otherwise(-1.0).alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "gl", "hl", "nl", "g", "h", "n")
-    found = sides.groupBy("node").agg(F.max(best).alias("s")).select("node", "s.*").collect()  # at most two per leaf
-    return {r["node"]: r.asDict() for r in found}
+def _best(g: np.ndarray, h: np.ndarray, n: np.ndarray, min_rows: int) -> dict:
+    """A node's best split from its sums by feature and bin: the greatest gain, ties to the first feature and bin."""
+    gl, hl, nl = (t.cumsum(axis=1) for t in (g, h, n))
+    all_g, all_h, all_n = gl[0, -1], hl[0, -1], nl[0, -1]
+    ok = (nl >= min_rows) & (all_n - nl >= min_rows) & (hl > 0) & (all_h > hl)
+    part = lambda g, h: g.astype(np.float64) ** 2 / np.maximum(h, 1)
+    gain = np.where(ok, (part(gl, hl) + part(all_g - gl, all_h - hl) - part(all_g, all_h)) / UNIT, -1.0)
+    j, b = np.unravel_index(gain.argmax(), gain.shape)
+    return {"gain": float(gain[j, b]), "feature": int(j), "bin": int(b), "gl": int(gl[j, b]), "hl": int(hl[j, b]), "g": int(all_g), "h": int(all_h)}
 
 
 def _grow(splits, leaves: int, min_gain: float):
@@ -190,7 +212,7 @@ def _grow(splits, leaves: int, min_gain: float):
     offer(0)
     while heap and made < leaves:
         _, k = heapq.heappop(heap)
-        feature[k], cut[k], gain[k] = -known[k]["f"], -known[k]["b"], known[k]["gain"]
+        feature[k], cut[k], gain[k] = known[k]["feature"], known[k]["bin"], known[k]["gain"]
         left[k], right[k] = len(paths), len(paths) + 1
         made += 1
         for side in (0, 1):

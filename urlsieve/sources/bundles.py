@@ -1,4 +1,4 @@
-"""Model folders: a fitted pipeline, whose assembler stage keeps the feature order; linear models and clusterings as small tables."""
+"""Model folders: a fitted pipeline, whose assembler stage keeps the feature order; linear models, boosted trees and clusterings as small tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from urlsieve.operators.boosting import BoostedTrees, from_nodes
 from urlsieve.operators.kmeans import nearest
 from urlsieve.operators.linear import LinearModel
 from urlsieve.operators.models import feature_order
@@ -57,6 +58,19 @@ def load_linear(path: str) -> LinearModel:
                        (last["class0"], last["class1"]), int(last["mean"]), int(last["scale"]))
 
 
+def save_boosted(model: BoostedTrees, path: str) -> None:
+    """Folders ``features`` (a row per feature with its bounds; the start margin is in each) and ``nodes``."""
+    spark = SparkSession.active()
+    features = [(j, n, [float(v) for v in b], model.start) for j, (n, b) in enumerate(zip(model.names, model.bounds))]
+    spark.createDataFrame(features, "place int, name string, bounds array<double>, start double").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+    model.nodes(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+
+
+def load_boosted(path: str) -> BoostedTrees:
+    rows = _rows(f"{path}/features")
+    return from_nodes([r["name"] for r in rows], [r["bounds"] for r in rows], rows[0]["start"], SparkSession.active().read.parquet(f"{path}/nodes"))
+
+
 @dataclass(frozen=True)
 class ClusterBundle:
     """A clustering that can be kept: columns, their moments, centres, and what is high and low in each cluster."""
