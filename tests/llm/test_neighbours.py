@@ -52,3 +52,14 @@ def test_edges(spark):
     got = [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in neighbours.nearest(df, neighbours.F.col("vec_id") % 50 == 0).collect()]
     assert sorted(got) == [(0, 1, 1, 1.0), (0, 2, 2, 0.0), (0, 3, 7, -1.0)]
     assert neighbours.nearest(df.limit(0), neighbours.F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_lengths_are_spaces_of_their_own(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.standard_normal(3 if i % 5 == 0 else 4) * 10.0 ** (i % 7 * 50 - 150)]) for i in range(240)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), neighbours.F.col("vec_id") % 29 == 0).collect()
+    for size in (3, 4):
+        mine = [(i, np.array(v) / np.abs(v).max()) for i, v in rows if len(v) == size]
+        want = brute([i for i, _ in mine], [v for _, v in mine], lambda i: i % 29 == 0)
+        assert want and recall([g for g in got if g.query_id in want], want) >= 0.9
+    assert len(got) == 5 * len({g.query_id for g in got}) == 5 * len([i for i, _ in rows if i % 29 == 0])

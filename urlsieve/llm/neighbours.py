@@ -9,6 +9,7 @@ query first searches its own cell; the d_k found there tells, by the same test,
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,13 @@ def quantile(p: float, m: int = PROJECTED) -> float:
     return high
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two (cosines stay exactly the same), so that no square leaves the range of doubles."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -119,6 +126,7 @@ def _search(points: pd.DataFrame, queries: pd.DataFrame, k: int, stop: float) ->
     if not len(points) or not len(queries):
         return pd.DataFrame({"query": [], "class": [], "score": []})
     vectors, asked = np.array(points.vector.tolist(), float), np.array(queries.vector.tolist(), float)
+    vectors, asked = scaled(vectors), scaled(asked)
     norms, own = np.linalg.norm(vectors, axis=1), np.linalg.norm(asked, axis=1)
     tree, projected = Tree(np.array(points.projected.tolist())), np.array(queries.projected.tolist())
     out, known = [], queries.d.astype(float).fillna(np.inf).to_numpy()
@@ -141,8 +149,8 @@ def nearest(vectors: DataFrame, asks, k: int = 5, sure: float = 0.98, key: str =
     """(query_id, rank, vec_id, score): the k nearest found to each row that the condition ``asks`` picks.
 
     Score is the cosine in double precision on the original vectors; ties go to the smaller identifier. Rows with a null
-    identifier, and vectors that are null, zero or hold null or non-finite numbers take no part; neither do vectors whose
-    length is not the commonest (of several, the least). Equal vectors are searched once and keep their k + 1 least
+    identifier, and vectors that are null, zero or hold null or non-finite numbers take no part. Vectors of different lengths have no
+    cosine: each length is a space of its own, searched in turn. Equal vectors are searched once and keep their k + 1 least
     identifiers, which is all that any answer can need. Repeated rows count once. The cells come from a sample of at most
     SAMPLE rows; every row is indexed.
     """
@@ -151,13 +159,15 @@ def nearest(vectors: DataFrame, asks, k: int = 5, sure: float = 0.98, key: str =
     rows = vectors.select(vectors[key].alias("id"), F.col(vector).cast("array<double>").alias("vector"), asks.alias("asks"))
     usable = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))) & F.exists("vector", lambda x: x != 0)
     rows = rows.filter(F.col("id").isNotNull() & F.coalesce(usable, F.lit(False)))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    if sizes is None:
-        return empty
-    first = sizes["size"]
-    rows = rows.filter(F.size("vector") == first).withColumn("class", F.xxhash64("vector"))
+    sizes = [r["size"] for r in rows.groupBy(F.size("vector").alias("size")).agg(F.max(F.coalesce("asks", F.lit(False))).alias("asks")).filter("asks").orderBy("size").collect()]
+    return reduce(DataFrame.union, [_nearest(rows.filter(F.size("vector") == n), n, k, sure, seed) for n in sizes], empty)
+
+
+def _nearest(rows: DataFrame, length: int, k: int, sure: float, seed: int) -> DataFrame:
+    """The same for rows (id, vector, asks) whose vectors are all of one length."""
+    rows = rows.withColumn("class", F.xxhash64("vector"))
     rng = np.random.default_rng(seed)
-    axes = rng.standard_normal((first, PROJECTED))
+    axes = rng.standard_normal((length, PROJECTED))
     ids = stage_table(rows.select("class", "id", "asks"), "vector-ids").distinct()
     near = Window.partitionBy("class", F.pmod(F.xxhash64("id"), F.lit(256))).orderBy("id")
     least = ids.select("class", "id").distinct().withColumn("n", F.row_number().over(near)).filter(F.col("n") <= k + 1)
