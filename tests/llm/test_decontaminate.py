@@ -60,6 +60,15 @@ def test_edited_version_in_many_documents(spark):
             want = rows
 
 
+def test_every_text_of_an_item_and_items_without_identifier(spark):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(30)) for _ in range(4)]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2]), (2, texts[2])], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"xx {t} yy") for i, t in enumerate(texts)] + [(9, texts[0] + " " + texts[1])], "doc_id long, text string")
+    got = sorted((r.doc_id, str(r.item_id), r.align) for r in decontaminate.leaked(docs, items).collect())
+    assert got == [(0, "1", 1.0), (1, "1", 1.0), (2, "2", 1.0), (2, "None", 1.0), (9, "1", 1.0)]
+
+
 def test_query_finds_what_holds_an_item(spark):
     sf = "/root/testdata/sf0.01"
     norm = lambda t: " ".join(re.findall(r"[^ \t-\r]+", t.lower()))

@@ -24,7 +24,7 @@ _HIT = "doc_id long, item_id long, seeds int, words binary"
 
 
 def item_words(items: DataFrame, n: int, key: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, words, grams): hashes of an item's words and of its n-grams, of items with n words at least."""
+    """(item, item_id, words, grams) of each different text of an item: its own key, hashes of its words and of its n-grams, if it has n words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -33,20 +33,22 @@ def item_words(items: DataFrame, n: int, key: str = "item_id", text: str = "text
                 rows = [hashes[first[i]:first[i + 1]] for i in range(part.num_rows)]
                 grams = [shingles(r, np.array([0, len(r)]), n)[0] if len(r) >= n else np.zeros(0, np.uint64) for r in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("item_id"), pa.array([r.tobytes() for r in rows], pa.binary()),
-                     pa.array([g.view(np.int64) for g in grams], pa.list_(pa.int64()))], names=["item_id", "words", "grams"])
+                    [part.column("item"), part.column("item_id"), pa.array([r.tobytes() for r in rows], pa.binary()),
+                     pa.array([g.view(np.int64) for g in grams], pa.list_(pa.int64()))], names=["item", "item_id", "words", "grams"])
 
-    rows = items.select(F.col(key).cast("long").alias("item_id"), F.col(text).alias("text")).filter("item_id is not null")
-    return rows.mapInArrow(run, "item_id long, words binary, grams array<long>").filter("size(grams) > 0")
+    own = F.col(key).cast("long")
+    rows = items.select(F.xxhash64(own.isNull(), own, text).alias("item"), own.alias("item_id"), F.col(text).alias("text")).distinct()
+    return rows.mapInArrow(run, "item long, item_id long, words binary, grams array<long>").filter("size(grams) > 0")
 
 
 class Seeds:
     """Sorted n-grams of a block of items, with item and place of each, and a bit table to pass over most words fast."""
 
     def __init__(self, rows):
-        self.words = {r.item_id: np.frombuffer(r.words, np.uint64) for r in rows}
+        self.words = {r.item: np.frombuffer(r.words, np.uint64) for r in rows}
+        self.names = {r.item: r.item_id for r in rows}
         grams = np.concatenate([np.array(r.grams, np.int64).view(np.uint64) for r in rows])
-        item = np.concatenate([np.full(len(r.grams), r.item_id, np.int64) for r in rows])
+        item = np.concatenate([np.full(len(r.grams), r.item, np.int64) for r in rows])
         place = np.concatenate([np.arange(len(r.grams)) for r in rows])
         order = np.argsort(grams, kind="stable")
         self.grams, self.item, self.place = grams[order], item[order], place[order]
@@ -131,16 +133,16 @@ def leaked(docs: DataFrame, items: DataFrame, n: int = 4, least: float = 0.5, ke
 
     ``align`` is the best alignment's score over that of the item with itself, ``seeds`` the distinct n-grams met in the
     best region. Null or empty texts and items with fewer than n words meet nothing; repeated rows give one
-    result per (doc_id, item_id), repeated items count once (the least text). Other columns are left out.
+    result per (doc_id, item_id), repeated items count once. Every text of an item_id is searched, items without one as well;
+    the best of them counts. Other columns are left out.
     """
     spark = docs.sparkSession
-    once = items.groupBy("item_id").agg(F.min("text").alias("text"))
-    words = stage_table(item_words(once, n), "items")
+    words = stage_table(item_words(items, n), "items")
     total = words.agg(F.coalesce(F.sum(F.size("grams") + F.length("words") / 8), F.lit(0))).first()[0]
     blocks = int(total // BLOCK) + 1
     found = []
     for b in range(blocks):
-        mine = words.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
+        mine = words.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
         held = mine.collect()  # a block of items, of bounded size
         if not held:
             continue
@@ -173,7 +175,8 @@ def score_regions(seeded: DataFrame, seeds, least: float) -> DataFrame:
                             padded[j, :lengths[j]] = held[r]
                         words = seeds.value.words[int(i)]
                         score[some] = align(words, padded, lengths) / (2 * len(words))
-                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("item_id"), pa.array(score), batch.column("seeds")],
+                named = pa.array([seeds.value.names[int(i)] for i in item], pa.int64())
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id"), named, pa.array(score), batch.column("seeds")],
                                                  names=["doc_id", "item_id", "align", "seeds"])
                 yield out.filter(pa.array(score >= least))
 
