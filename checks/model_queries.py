@@ -219,7 +219,7 @@ def model_bundle(spark, sf_dir):
 
 
 @query()
-def pipeline_bundle(spark, sf_dir):
+def mllib_bundle(spark, sf_dir):
     """Save, load, score with the loaded model: every row with its score, and the number of features."""
     train, test = split(spark, sf_dir)
     path = scratch_path(spark, "model")
