@@ -131,3 +131,41 @@ def test_second_pass_is_reported(spark):
     assert set(report) == {"description", "profiles", "composition", "dominance"}
     assert all(r.level == "second" for t in report.values() for r in t.collect())
     assert sum(r.n for r in report["composition"].collect()) == 120 and not report["dominance"].first().second_pass
+
+
+def test_half_grid_sums_of_copies_and_near_points(spark):
+    """All pairs in cells of any size, with copies, points nearer than a product of matrices can tell, and a cluster far from the others."""
+    from urlsieve.operators import blocks
+    rng = np.random.default_rng(8)
+    x = np.concatenate((rng.normal(0, 1, (90, 3)), rng.normal(0, 1e-7, (40, 3)) + 300.0, np.repeat(rng.normal(0, 1, (5, 3)), 12, axis=0)))
+    g = np.arange(len(x)) % 3
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    w = 1 + np.arange(len(x)) % 2
+    to_b, names_b, to_a, names_a = blocks.group_sums(x[:70], w[:70], g[:70], x[70:], w[70:], g[70:])
+    for k, c in enumerate(names_b):
+        assert to_b[:, k] == pytest.approx((d[:70, 70:] * w[70:])[:, g[70:] == c].sum(1), rel=1e-12)
+    for k, c in enumerate(names_a):
+        assert to_a[:, k] == pytest.approx((d[70:, :70] * w[:70])[:, g[:70] == c].sum(1), rel=1e-12)
+    df = spark.createDataFrame([(i, int(c), *map(float, r)) for i, (c, r) in enumerate(zip(g, x))], "row_id long, cluster int, a double, b double, c double")
+    before = blocks.reduce_half_grid.__defaults__
+    blocks.reduce_half_grid.__defaults__ = (20,)
+    try:
+        got = {r.id: r.s for r in C.silhouette_points(df, ["a", "b", "c"]).collect()}
+    finally:
+        blocks.reduce_half_grid.__defaults__ = before
+    for i in range(len(x)):
+        own = g == g[i]
+        a, b = d[i][own].sum() / (own.sum() - 1), min(d[i][g == o].mean() for o in set(g) - {g[i]})
+        assert got[i] == pytest.approx((b - a) / max(a, b), abs=1e-12)
+
+
+def test_silhouette_measures_copies_once(spark):
+    """What the grid gets are the distinct points, and its cells follow from their number."""
+    from urlsieve.operators import blocks
+    seen, whole = [], C.reduce_half_grid
+    C.reduce_half_grid = lambda points, carry, reduce, schema, rows: seen.append(rows) or whole(points, carry, reduce, schema, rows)
+    try:
+        df = spark.range(3000).selectExpr("id as row_id", "cast(id % 2 as int) cluster", "cast(id % 6 as double) x")
+        assert C.silhouette_points(df, ["x"]).count() == 3000 and seen == [6]
+    finally:
+        C.reduce_half_grid = whole
