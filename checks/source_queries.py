@@ -46,12 +46,12 @@ def read_live_list(spark, sf_dir):
 
 
 def external_csv(spark, sf_dir):
-    """The corpus as an external file would have it: 1 means legitimate, other columns around."""
+    """The corpus as an external file would have it, in the order of row_id: 1 means legitimate, other columns around."""
     path = scratch_path(spark, "external")
-    (url_corpus(spark, sf_dir)
+    (url_corpus(spark, sf_dir).repartitionByRange("row_id").sortWithinPartitions("row_id")
      .select(F.col("url").alias("﻿URL"), F.length("url").alias("URLLength"),
              F.when(F.col("type") == "benign", 1).otherwise(0).alias("label"), F.lit("x").alias("Title"))
-     .write.option("header", True).csv(path))
+     .write.options(**readers.CSV).csv(path))
     return path
 
 

@@ -78,3 +78,18 @@ def test_sampling_queries_sample_in_sql():
     first = "FROM (SELECT * FROM z ORDER BY md5('42|' || row_id), row_id LIMIT "
     assert first + "20000)" in SQL["silhouette_sample"] and first + "30000)" in SQL["dbscan_sweep"]
     assert first not in SQL["silhouette_points"] and first not in SQL["dbscan"]
+
+
+@pytest.mark.parametrize("name", ["read_external_labelled", "read_external_sampled"])
+def test_external_file_is_in_the_order_of_rows(spark, sf_dir, tmp_path, name):
+    """The reader keeps an address's first line, so lines follow row_id however the pages' files are cut and ordered."""
+    import duckdb
+    from checks.compare import compare
+    from checks.registry import QUERIES, SQL
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 51))  # the same addresses, some with another type
+    pages.repartitionByRange(6, F.desc("page_id")).sortWithinPartitions(F.desc("page_id")).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    for t, at in (("nation", f"{sf_dir}/nation.parquet"), ("pages", f"{tmp_path}/pages.parquet/*.parquet")):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{at}'")
+    assert compare(spark, con, name, QUERIES[name], SQL[name], str(tmp_path)).startswith("ok")
