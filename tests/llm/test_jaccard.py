@@ -77,3 +77,23 @@ def test_nulls_and_repeats(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect()), key=str)
     assert got == sorted([(None, 1, None), (None, 0, None), (3, 1, 2), (3, 1, 2), (2, 1, 2), (4, 0, 4)], key=str)
     assert jaccard.similar_documents(docs.limit(0)).count() == 0
+
+
+def test_pairs_of_words_that_two_sets_show(spark):
+    """Documents that share a passage with each of many others, and with their near copy only words that these two show."""
+    base = [[f"g{g}w{i}" for i in range(1000)] for g in range(40)]
+    texts = [" ".join(b) for b in base] + [" ".join("x" + w if i % 50 == 25 else w for i, w in enumerate(b)) for b in base]
+    windows = [at + k for at in range(25, 1000, 50) for k in range(-4, 1)]
+    texts += [" ".join(w for g, b in enumerate(base) for w in [*b[at:at + 5], *[f"g{g}p{at}a{i}" for i in range(20)]]) for at in windows]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect())
+    want = [(i, n, c) for i, (n, c) in enumerate(brute(texts))]
+    assert sum(c != i for i, _, c in want) == 40
+    assert got == want
+
+
+def test_first_pairs_of_two_sets_are_all_taken(spark):
+    rows = [(s, i, s, False) for s in range(6) for i in (s, 100)] + [(50 + s, i, 60 + s, True) for s in range(6) for i in (60 + s, 200, 201)]
+    met = spark.createDataFrame(rows, "sig long, set_id long, least long, several boolean")
+    got = sorted(map(tuple, jaccard.first_pairs(met).collect()))
+    assert got == [(s, 100) for s in range(6)] + [(60 + s, i) for s in range(3) for i in (200, 201)]

@@ -224,7 +224,8 @@ def verify(pairs: DataFrame, brief: DataFrame, docs: DataFrame, k: int, num: int
 def still_open(met: DataFrame, label: DataFrame) -> DataFrame:
     """(sig, set_id, label, n) of the words whose sets are in different components; n is the word's number of sets.
 
-    Of words that show exactly the same sets (a shared passage has many) one stays: the others would compare them again.
+    Words of two sets have met already (``first_pairs``). Of words that show exactly the same sets (a shared passage has many) one
+    stays: the others would compare them again.
     """
     placed = join_narrow(met, label.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     members = [F.bit_xor(F.xxhash64("set_id", F.lit(i))).alias(f"m{i}") for i in (1, 2)]
@@ -293,6 +294,18 @@ def asked(proposals: DataFrame) -> DataFrame:
     return few.select(F.least("c.a", "set_id").alias("a"), F.greatest("c.a", "set_id").alias("b")).distinct()
 
 
+def first_pairs(met: DataFrame) -> DataFrame:
+    """(a, b) of the sets that meet first, from (sig, set_id, least, several).
+
+    In a word of two sets these are a pair, all of which are taken: no later step looks at such words, and there is one pair a word
+    at most. In a word of several, every set is held to the least one, to CENTRES of them at most; the turns and the direct
+    meeting take the rest.
+    """
+    held = met.filter("set_id <> least")
+    star = asked(held.filter("several").select("set_id", F.struct(F.col("least").alias("h"), F.col("least").alias("a")).alias("c")))
+    return star.union(held.filter("not several").select(F.col("least").alias("a"), F.col("set_id").alias("b"))).distinct()
+
+
 def similar_documents(docs: DataFrame, text: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; documents link when den * intersection >= num * union.
 
@@ -307,12 +320,12 @@ def similar_documents(docs: DataFrame, text: str = "text", k: int = 5, num: int
     sets = rows.filter("n > 0 and doc_id is not null")
     group = Window.partitionBy("sig")
     shown = signature_rows(docs.filter("doc_id is not null"), "text", k, common, num, den)
-    met = shown.withColumn("least", F.min("set_id").over(group)).withColumn("most", F.max("set_id").over(group))
-    met = stage_table(met.filter("least <> most").select("sig", "set_id", "least").distinct(), "met")  # dealt by sig already
+    met = shown.withColumn("least", F.min("set_id").over(group)).withColumn("most", F.max("set_id").over(group)).filter("least <> most")
+    met = met.withColumn("several", F.max((F.col("set_id") != F.col("least")) & (F.col("set_id") != F.col("most"))).over(group))
+    met = stage_table(met.select("sig", "set_id", "least", "several").distinct(), "met")  # dealt by sig already
     brief = sets.groupBy("set_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short"), F.min("doc_id").alias("doc_id"))
     brief = stage_table(brief.join(met.select("set_id").distinct(), "set_id"), "brief")
-    # every set is held to the least sets of its words, to CENTRES of them at most; the turns and the direct meeting take the rest
-    star = asked(met.filter("set_id <> least").select("set_id", F.struct(F.col("least").alias("h"), F.col("least").alias("a")).alias("c")))
+    star = stage_table(first_pairs(met), "star")
     edges, turn = stage_table(verify(star, brief, docs, k, num, den), "edges"), 0
     while True:
         label = components(edges)
