@@ -94,3 +94,15 @@ def test_query(spark, sf_dir):
         base = brute(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and set(filter(None, base.split(","))) <= set(r.spans.split(","))
         assert r.n_email + r.n_ip + r.n_card + r.n_phone == (base.count(",") + 1 if base else 0)
+
+
+def test_fit_sees_every_document(spark):
+    """Examples that only documents with a great hash hold, so that no sample of those with the least hashes has one."""
+    from pyspark.sql import functions as F
+    plain = spark.range(9000).select(F.concat(F.lit("nothing "), "id").alias("text")).filter(F.xxhash64("text") < 0).limit(2500)
+    told = []
+    for i in range(1600):
+        n = card(i)
+        told += [f"pay by card: {' '.join(n[j:j + 4] for j in range(0, 16, 4))} today", f"part no {i * 31 % 9973 + 10000} {i * 17 % 997 + 1000} {i + 100} x"]
+    told = spark.createDataFrame([(t,) for t in told], "text string").filter(F.xxhash64("text") > 0)
+    assert pii.fit_trees(plain.union(told)).trees

@@ -2,7 +2,7 @@
 
 Generators propose spans beyond the base formats. Boosted trees, learnt from base candidates and proposals that pass or fail
 their check, see format and context only (never the check itself) and are compiled to one column expression; a threshold per
-kind, calibrated on the other half of the sample, decides which proposals are added. Base spans always stay. All work on a
+kind, calibrated on the other half of the documents, decides which proposals are added. Base spans always stay. All work on a
 document stays in its row: nothing is exploded or shuffled.
 """
 
@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urlsieve.llm.narrow import least_by_hash
+from urlsieve.session import stage_table
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -212,30 +212,29 @@ def least_threshold(steps: list, share: float) -> float:
     return best
 
 
-def fit_trees(docs: DataFrame, text: str = "text", bound: int = 2_000, precision: float = 0.9, rounds: int = 8, depth: int = 3) -> Trees:
-    """Learn from at most ``bound`` documents, those with the least hash of their text (a documented limit of the fit).
+def fit_trees(docs: DataFrame, text: str = "text", precision: float = 0.9, rounds: int = 8, depth: int = 3) -> Trees:
+    """Learn from all documents.
 
-    Examples are base matches and the generators' proposals of a kind with a check, labelled by that check. Half of the sample fits
-    the trees; on the other half each kind's least threshold with the wanted precision is chosen. If there is none, or one class is
-    missing, nothing is ever added.
+    Examples are base matches and the generators' proposals of a kind with a check, labelled by that check. The documents whose
+    text has an even hash fit the trees; on the others each kind's least threshold with the wanted precision is chosen. If there is
+    none, or one class is missing, nothing is ever added. Equal examples are counted, on the map side, and become one row with a
+    weight, so what the trees are fitted on grows with the examples that differ.
     """
-    sample = least_by_hash(docs.select(F.col(text).alias("body")).filter("body is not null"), bound, "body")
-    met = base_candidates(sample, "body").select("body", F.array_distinct(F.concat("_matches", checkable(F.col("body")))).alias("all"))
-    spans = met.select("body", F.explode("all").alias("m")).filter("length(m.held) >= 7")
-    rows = spans.select(F.xxhash64("body").alias("h"), F.col("m.kind").alias("kind"), passes(F.col("m.kind"), F.col("m.held")).cast("double").alias("label"),
-                        _features(F.col("m"), F.col("body")).alias("f"))
-    rows = rows.select("kind", "label", (F.col("h") % 2 == 0).alias("first"), array_to_vector("f").alias("x"), "f").coalesce(2).cache()
+    met = base_candidates(docs.select(F.col(text).alias("body")).filter("body is not null"), "body")
+    every = F.filter(F.array_distinct(F.concat("_matches", checkable(F.col("body")))), lambda m: F.length(m["held"]) >= 7)
+    example = lambda m: F.struct(m["kind"].alias("kind"), passes(m["kind"], m["held"]).cast("double").alias("label"), _features(m, F.col("body")).alias("f"))
+    rows = met.select((F.xxhash64("body") % 2 == 0).alias("first"), F.explode(F.transform(every, example)).alias("e")).select("first", "e.*")
+    rows = stage_table(rows.groupBy("first", "kind", "label", "f").agg(F.count(F.lit(1)).alias("n")), "examples")
     seen = {(r.first, r.label) for r in rows.select("first", "label").distinct().collect()}
     if len(seen) < 4:
-        rows.unpersist()
         return NONE
-    model = GBTClassifier(featuresCol="x", labelCol="label", maxIter=rounds, maxDepth=depth, maxBins=32, seed=7).fit(rows.filter("first"))
+    learn = rows.filter("first").select("label", F.col("n").cast("double").alias("n"), array_to_vector("f").alias("x"))
+    model = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=rounds, maxDepth=depth, maxBins=32, seed=7).fit(learn)
     made = model._java_obj.trees()
     trees = Trees(tuple(_nested(made[i].rootNode()) for i in range(len(made))), tuple(float(w) for w in model.treeWeights), 2.0)
     step = F.floor(trees.score(F.col("f")) * STEPS).alias("step")
-    scored = rows.filter("not first").select("kind", "label", step).groupBy("kind", "step").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect()  # at most 101 rows a kind
-    rows.unpersist()
+    scored = rows.filter("not first").select("kind", "label", "n", step).groupBy("kind", "step").agg(
+        F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("good")).collect()  # at most 101 rows a kind
     every = least_threshold(_by_step(scored), precision)
     by_kind = [[r for r in scored if r.kind == k] for k in range(len(KINDS))]
     return Trees(trees.trees, trees.weights, every, tuple(
