@@ -201,3 +201,18 @@ def test_first_row_of_an_address_survives(spark):
     df = spark.createDataFrame(rows, "row_id long, url string, type string")
     got = {r.url: (r.row_id, r.type, r.label) for r in build_feature_table(df).collect()}
     assert got == {"http://a.com": (2, "phishing", 1), "http://b.com": (9, "malware", 1)}
+
+
+def test_corpus_of_one_file_is_spread(spark, sf_dir):
+    """The pages' one row group is one task's; the addresses made of it are not."""
+    from checks.corpus import url_corpus
+    made = url_corpus(spark, sf_dir).groupBy(F.spark_partition_id()).count().collect()
+    assert len(made) > 8 and sum(r["count"] for r in made) == 1250
+
+
+def test_runs_and_entropy_of_odd_texts(spark):
+    """Single characters need no entry in the list of runs."""
+    rows = [None, "", "a", "ab", "aab", "abba", "🙂🙂🙂x", "a\n\n"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").select("i", T.longest_run(F.col("t")), T.shannon_entropy(F.col("t"))).collect()
+    assert [r[1] for r in sorted(got)] == [0, 0, 1, 1, 2, 2, 3, 2]
+    assert [round(r[2], 6) for r in sorted(got)] == [0, 0, 0, 1, 0.918296, 1, 0.811278, 0.918296]
