@@ -97,3 +97,27 @@ def test_first_pairs_of_two_sets_are_all_taken(spark):
     met = spark.createDataFrame(rows, "sig long, set_id long, least long, several boolean")
     got = sorted(map(tuple, jaccard.first_pairs(met).collect()))
     assert got == [(s, 100) for s in range(6)] + [(60 + s, i) for s in range(3) for i in (200, 201)]
+
+
+def test_near_copies_that_do_not_link_make_few_pairs(spark, monkeypatch):
+    """Copies of one text that are alike at 0.66 share most words; only those nearer by the long sketches are made pairs, trees of them first."""
+    rng = random.Random(8)
+    texts = []
+    for group, copies in (("p", 120), ("q", 40)):
+        base = [f"{group}{rng.randrange(10 ** 6)}" for _ in range(300)]
+        for i in range(copies):
+            edits = set(rng.sample(range(10, 290), 6))
+            texts.append(" ".join(f"{w}x{i}" if at in edits else w for at, w in enumerate(base)))
+    texts.append(" ".join(base))
+    made, verify = [], jaccard.verify
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verify", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect())
+    want = [(i, n, c) for i, (n, c) in enumerate(brute(texts))]
+    assert got == want and sum(c != i for i, _, c in want) >= 40
+    assert sum(made) < 10 * len(texts), made

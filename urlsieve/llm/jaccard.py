@@ -193,9 +193,11 @@ def verify(pairs: DataFrame, brief: DataFrame, docs: DataFrame, k: int, num: int
 
     Tokens take more room than the texts, so they are made only for sets of pairs within the bound.
     """
-    left = brief.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = brief.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    sized = pairs.join(left, "a").join(right, "b").filter(F.expr(f"{den} * least(na, nb) >= {num} * greatest(na, nb)"))
+    left, right = (brief.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
+    fits = join_narrow(join_narrow(pairs, left, "a"), right, "b").filter(F.expr(f"{den} * least(na, nb) >= {num} * greatest(na, nb)"))
+    fits = stage_table(fits, "fits")
+    named = join_narrow(brief.select("set_id", "sketch"), fits.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "set_id")
+    sized = fits.join(named.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa")), "a").join(named.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb")), "b")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -222,52 +224,98 @@ def verify(pairs: DataFrame, brief: DataFrame, docs: DataFrame, k: int, num: int
 
 
 def still_open(met: DataFrame, label: DataFrame) -> DataFrame:
-    """(sig, set_id, label, n) of the words whose sets are in different components; n is the word's number of sets.
+    """(sig, set_id, label, n) of the words whose sets are in different components; n is the word's number of sets in ``met``.
 
-    Words of two sets have met already (``first_pairs``). Of words that show exactly the same sets (a shared passage has many) one
+    Of words that show exactly the same sets (a shared passage has many) one
     stays: the others would compare them again.
     """
-    placed = join_narrow(met, label.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    placed = join_narrow(met.select("sig", "set_id"), label.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     members = [F.bit_xor(F.xxhash64("set_id", F.lit(i))).alias(f"m{i}") for i in (1, 2)]
     mixed = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), *members)
-    asked = mixed.filter("low <> high and n > 2").groupBy("n", "m1", "m2").agg(F.min("sig").alias("sig"))
+    asked = mixed.filter("low <> high").groupBy("n", "m1", "m2").agg(F.min("sig").alias("sig"))
     return stage_table(placed.join(asked.select("sig", "n"), "sig"), "open")
 
 
-def across(open_: DataFrame, brief: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) of sets that share a word, are in different components and whose sketches are near enough.
+def met_in_groups(open_: DataFrame, brief: DataFrame, column: str) -> DataFrame:
+    """(sig, items, others): lists of a word's sets with a sketch, each pair of lists that have to meet; ``others`` is null for a list with itself.
 
-    A word's sets are dealt into groups of about GROUP (most words need one, and no join); a task compares two groups as
-    matrices of sketch bits and lets out only what stays within the bound, so no row is made for a pair that is not a candidate.
-    Sets that share many words meet in each; a task lets them out once.
+    A word's sets are dealt into groups of about GROUP; most words need one, and no join.
     """
-    sized = open_.join(brief.select("set_id", F.col("n").alias("size"), F.col("short").alias("sketch")), "set_id")
+    named = brief.select("set_id", F.col("n").alias("size"), F.col(column).alias("sketch"))
+    sized = open_.join(join_narrow(named, open_.select("set_id").distinct(), "set_id"), "set_id")
     sized = sized.withColumn("group", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("n") / GROUP)))
     items = F.collect_list(F.struct("set_id", "label", "size", "sketch"))
     lists = stage_table(sized.groupBy("sig", "n", "group").agg(items.alias("items")), "groups")
     several = lists.filter(f"n > {GROUP}")
     pairs = several.join(several.select("sig", F.col("group").alias("other"), F.col("items").alias("others")), "sig").filter("group <= other")
-    pairs = pairs.select("items", "others").union(lists.filter(f"n <= {GROUP}").select("items", F.lit(None).alias("others")))
+    return pairs.select("sig", "items", "others").union(lists.filter(f"n <= {GROUP}").select("sig", "items", F.lit(None).alias("others")))
 
+
+def with_partner(open_: DataFrame, brief: DataFrame, num: int, den: int) -> DataFrame:
+    """(sig, set_id) of the words and their sets that share it with a set of another component whose short sketch is near enough.
+
+    A task compares two groups as matrices of sketch bits. However many pairs are near, there are no more rows than sets in groups;
+    a pair that shares many words is named at one of them in each task.
+    """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
-                left, right = [], []
-                for xs, ys in zip(*(batch.column(c).slice(at, 16).to_pylist() for c in ("items", "others"))):
-                    fresh = {(min(a, b), max(a, b)) for a, b in near_pairs(xs, xs if ys is None else ys, num, den)} - seen
-                    left += [a for a, _ in fresh]
-                    right += [b for _, b in fresh]
+                found: set[tuple[int, int]] = set()
+                for sig, xs, ys in zip(*(batch.column(c).slice(at, 16).to_pylist() for c in ("sig", "items", "others"))):
+                    fresh = {x[1:3] for x in near_pairs(xs, xs if ys is None else ys, num, den)} - seen
                     if len(seen) > 300_000:
                         seen.clear()
                     seen |= fresh
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                    found.update((sig, x) for pair in fresh for x in pair)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["sig", "set_id"])
 
-    return pairs.mapInArrow(compare, "a long, b long")
+    return met_in_groups(open_, brief, "short").mapInArrow(compare, "sig long, set_id long").distinct()
 
 
-def near_pairs(xs: list[dict], ys: list[dict], num: int, den: int) -> Iterator[tuple[int, int]]:
-    """Pairs across components whose sizes and sketches allow a link; longer sketches are folded to one length per pair of lengths."""
+def across(open_: DataFrame, brief: DataFrame, num: int, den: int, forest: bool = False) -> DataFrame:
+    """(a, b) of sets that share a word, are in different components and whose long sketches are near enough.
+
+    Sets that share many words meet in each; a task lets them out once. With ``forest`` a task lets out a pair only if it joins two
+    components that no earlier pair of the task joined, nearest pairs first: fewer rows than sets.
+    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        root: dict[int, int] = {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                root[x] = root.get(root[x], root[x])
+                x = root[x]
+            return x
+
+        def joins(pair):
+            x, y = find(pair[3]), find(pair[4])
+            root[x] = y
+            return x != y
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 16):
+                found = set()
+                for xs, ys in zip(*(batch.column(c).slice(at, 16).to_pylist() for c in ("items", "others"))):
+                    found.update(near_pairs(xs, xs if ys is None else ys, num, den))
+                if forest:
+                    out = [x[1:3] for x in sorted(found) if joins(x)]
+                else:
+                    out = [x for x in {x[1:3] for x in found} - seen]
+                    if len(seen) > 300_000:
+                        seen.clear()
+                    seen.update(out)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return met_in_groups(open_, brief, "sketch").mapInArrow(compare, "a long, b long").distinct()
+
+
+def near_pairs(xs: list[dict], ys: list[dict], num: int, den: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(bits, a, b, component of a, component of b) of pairs across components whose sizes and sketches allow a link, a being the lesser.
+
+    ``bits`` is how many bits the sketches differ in; longer ones are folded to one length per pair of lengths.
+    """
     def by_length(items):
         out: dict[int, list] = {}
         for x in items:
@@ -285,7 +333,8 @@ def near_pairs(xs: list[dict], ys: list[dict], num: int, den: int) -> Iterator[t
             fits &= den * np.minimum(p[:, None], q) >= num * np.maximum(p[:, None], q)
             fits &= np.array([x["label"] for x in some])[:, None] != np.array([y["label"] for y in others])
             for i, j in zip(*np.nonzero(fits)):
-                yield some[i]["set_id"], others[j]["set_id"]
+                x, y = sorted(((some[i]["set_id"], some[i]["label"]), (others[j]["set_id"], others[j]["label"])))
+                yield int(apart[i, j]), x[0], y[0], x[1], y[1]
 
 
 def asked(proposals: DataFrame) -> DataFrame:
@@ -326,10 +375,11 @@ def similar_documents(docs: DataFrame, text: str = "text", k: int = 5, num: int
     brief = sets.groupBy("set_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short"), F.min("doc_id").alias("doc_id"))
     brief = stage_table(brief.join(met.select("set_id").distinct(), "set_id"), "brief")
     star = stage_table(first_pairs(met), "star")
+    several = met.filter("several")  # words of two sets have met
     edges, turn = stage_table(verify(star, brief, docs, k, num, den), "edges"), 0
     while True:
         label = components(edges)
-        open_ = still_open(met, label)
+        open_ = still_open(several, label)
         turn += 1
         # sets are held to sets of other components in their words, in an order that is new in each turn, for as long as that links many
         rank = F.xxhash64("set_id", F.lit(turn))
@@ -339,10 +389,16 @@ def similar_documents(docs: DataFrame, text: str = "text", k: int = 5, num: int
         edges = stage_table(edges.union(more), "edges")
         if more.count() * 10 <= star.count():
             break
-    # whatever the stars left in different components meets directly
-    label = components(edges)
-    rest = across(still_open(met, label), brief, num, den).distinct()
-    edges = stage_table(edges.union(verify(rest, brief, docs, k, num, den)), "edges")
+    # whatever the stars left in different components meets directly: forests of near pairs first, for as long as these link many
+    left = stage_table(with_partner(still_open(several, components(edges)), brief, num, den), "left")
+    forest = True
+    while True:
+        pairs = stage_table(across(still_open(left, components(edges)), brief, num, den, forest), "pairs")
+        more = stage_table(verify(pairs, brief, docs, k, num, den), "edges")
+        edges = stage_table(edges.union(more), "edges")
+        if not forest:
+            break
+        forest = more.count() * 4 > pairs.count()
     label = components(edges)
     known = sets.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     known = known.join(label.withColumnRenamed("id", "set_id"), "set_id", "left").filter("copies > 1 or label is not null")
