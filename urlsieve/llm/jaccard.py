@@ -7,8 +7,8 @@ blocks two linked sets share one, so equal words of equal blocks are the only ca
 common in the corpus come last; this order decides which d + 1 non-empty blocks a set shows, not what is found. A
 set with too few non-empty blocks also shows its first tokens in the same order, so many that a partner of like kind must
 share one. Candidates are first held to the least set
-of their block word; then only pairs in different components are looked at, first by a short foldable sketch, then
-by their tokens.
+of their block word; then only pairs in different components are looked at, first by a short foldable sketch, then by
+a long one, then by their tokens.
 """
 
 from __future__ import annotations
