@@ -121,3 +121,19 @@ def test_near_copies_that_do_not_link_make_few_pairs(spark, monkeypatch):
     want = [(i, n, c) for i, (n, c) in enumerate(brute(texts))]
     assert got == want and sum(c != i for i, _, c in want) >= 40
     assert sum(made) < 10 * len(texts), made
+
+
+def test_a_component_does_not_meet_itself_in_a_word(spark):
+    """A word of 1,000 sets of one component and 10 others: only lists that hold a set of the others meet, and all sets are named."""
+    open_ = spark.createDataFrame([(1, i, min(i // 1000 * i, i), 1010) for i in range(1010)], "sig long, set_id long, label long, n long")
+    brief = spark.createDataFrame([(i, 40, b"\1" * 8) for i in range(1010)], "set_id long, n long, short binary")
+    assert 9 <= jaccard.met_in_groups(open_, brief, "short").count() < 20
+    assert sorted(map(tuple, jaccard.with_partner(open_, brief, 3, 4).collect())) == [(1, i) for i in range(1010)]
+
+
+def test_merged_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    got = jaccard.merged(jaccard.components(frame(edges[:120])), frame(edges[120:]))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, jaccard.components(frame(edges)).collect()))

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from urlsieve.llm.narrow import components, join_narrow, most_frequent, small_batches
+from urlsieve.llm.narrow import components, join_narrow, merged, most_frequent, small_batches
 from urlsieve.llm.words import chunks, give_back, mix, shingles, word_hashes
 from urlsieve.session import stage_table
 
@@ -32,6 +32,7 @@ STRETCH = 1 << 21
 CENTRES = 3
 COMMON_ROWS = 300_000
 GROUP = 128
+SLICE = 32 * GROUP
 
 
 def token_sets(batch: pa.RecordBatch, text: str, k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -239,36 +240,50 @@ def still_open(met: DataFrame, label: DataFrame) -> DataFrame:
 def met_in_groups(open_: DataFrame, brief: DataFrame, column: str) -> DataFrame:
     """(sig, items, others): lists of a word's sets with a sketch, each pair of lists that have to meet; ``others`` is null for a list with itself.
 
-    A word's sets are dealt into groups of about GROUP; most words need one, and no join.
+    A word's sets are dealt into groups of about GROUP; most words need one, and no join. A component with more sets than that in a
+    word has groups of its own there, which don't meet each other. A word of over SLICE sets is dealt into slices that meet all of it,
+    each in one task.
     """
     named = brief.select("set_id", F.col("n").alias("size"), F.col(column).alias("sketch"))
-    sized = open_.join(join_narrow(named, open_.select("set_id").distinct(), "set_id"), "set_id")
-    sized = sized.withColumn("group", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("n") / GROUP)))
+    large = stage_table(open_.filter(f"n > {GROUP}").groupBy("sig", "label").agg(F.count(F.lit(1)).alias("c")), "shares")
+    loose = large.groupBy("sig").agg(F.sum(F.expr(f"if(c > {GROUP}, 0, c)")).alias("loose"))
+    large = large.join(loose, "sig")
+    rows = open_.filter(f"n > {GROUP}").join(large, ["sig", "label"])
+    own = F.xxhash64("label", F.pmod(F.xxhash64("set_id"), F.ceil(F.col("c") / GROUP)))
+    group = F.when(F.col("c") > GROUP, own).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("loose") / GROUP)))
+    rows = rows.select(*open_.columns, group.alias("group")).unionByName(open_.filter(f"n <= {GROUP}").withColumn("group", F.lit(0).cast("long")))
+    sized = rows.join(join_narrow(named, open_.select("set_id").distinct(), "set_id"), "set_id")
     items = F.collect_list(F.struct("set_id", "label", "size", "sketch"))
-    lists = stage_table(sized.groupBy("sig", "n", "group").agg(items.alias("items")), "groups")
-    several = lists.filter(f"n > {GROUP}")
-    pairs = several.join(several.select("sig", F.col("group").alias("other"), F.col("items").alias("others")), "sig").filter("group <= other")
-    return pairs.select("sig", "items", "others").union(lists.filter(f"n <= {GROUP}").select("sig", "items", F.lit(None).alias("others")))
+    lists = stage_table(sized.groupBy("sig", "n", "group").agg(items.alias("items"), F.min("label").alias("low"), F.max("label").alias("high")), "groups")
+    several = lists.filter(f"n > {GROUP}").withColumn("slices", F.ceil(F.col("n") / SLICE))
+    left = several.select("sig", F.pmod(F.xxhash64("group"), "slices").alias("slice"), "group", "items", "low", "high")
+    right = several.select("sig", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), *[F.col(c).alias(f"{c}_b") for c in ("group", "items", "low", "high")])
+    pairs = left.repartition("sig", "slice").join(right.repartition("sig", "slice"), ["sig", "slice"])
+    pairs = pairs.filter("group <= group_b and least(low, low_b) < greatest(high, high_b)")
+    return pairs.select("sig", "items", F.col("items_b").alias("others")).union(lists.filter(f"n <= {GROUP}").select("sig", "items", F.lit(None).alias("others")))
 
 
 def with_partner(open_: DataFrame, brief: DataFrame, num: int, den: int) -> DataFrame:
     """(sig, set_id) of the words and their sets that share it with a set of another component whose short sketch is near enough.
 
-    A task compares two groups as matrices of sketch bits. However many pairs are near, there are no more rows than sets in groups;
-    a pair that shares many words is named at one of them in each task.
+    A task compares two groups as matrices of sketch bits and names sets, not pairs. The groups of a word come one after another,
+    and a set is named there once, so there are no more rows than sets in words, once a slice.
     """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        word, named = None, set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 16):
-                found: set[tuple[int, int]] = set()
-                for sig, xs, ys in zip(*(batch.column(c).slice(at, 16).to_pylist() for c in ("sig", "items", "others"))):
-                    fresh = {x[1:3] for x in near_pairs(xs, xs if ys is None else ys, num, den)} - seen
-                    if len(seen) > 300_000:
-                        seen.clear()
-                    seen |= fresh
-                    found.update((sig, x) for pair in fresh for x in pair)
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["sig", "set_id"])
+            sigs, sets = [], []
+            for sig, xs, ys in listed(batch, "sig", "items", "others"):
+                if sig != word:
+                    word, named = sig, set()
+                found = set()
+                for _, fits, one, other, _, _ in near(xs, ys, num, den):
+                    found.update(one[fits.any(axis=1)].tolist(), other[fits.any(axis=0)].tolist())
+                fresh = found - named
+                named |= fresh
+                sigs += [sig] * len(fresh)
+                sets += fresh
+            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.int64())], names=["sig", "set_id"])
 
     return met_in_groups(open_, brief, "short").mapInArrow(compare, "sig long, set_id long").distinct()
 
@@ -296,13 +311,13 @@ def across(open_: DataFrame, brief: DataFrame, num: int, den: int, forest: bool
 
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
-                found = set()
-                for xs, ys in zip(*(batch.column(c).slice(at, 16).to_pylist() for c in ("items", "others"))):
-                    found.update(near_pairs(xs, xs if ys is None else ys, num, den))
+                found = np.concatenate([near_pairs(xs, ys, num, den) for xs, ys in listed(batch.slice(at, 16), "items", "others")], axis=1)
                 if forest:
-                    out = [x[1:3] for x in sorted(found) if joins(x)]
+                    found = found[:, np.lexsort(found[2::-1])]
+                    first = np.unique(np.sort(found[3:], axis=0), axis=1, return_index=True)[1]  # the nearest of two components
+                    out = [x[1:3] for x in found[:, np.sort(first)].T.tolist() if joins(x)]
                 else:
-                    out = [x for x in {x[1:3] for x in found} - seen]
+                    out = list(set(map(tuple, np.unique(found[1:3], axis=1).T.tolist())) - seen)
                     if len(seen) > 300_000:
                         seen.clear()
                     seen.update(out)
@@ -311,30 +326,55 @@ def across(open_: DataFrame, brief: DataFrame, num: int, den: int, forest: bool
     return met_in_groups(open_, brief, "sketch").mapInArrow(compare, "a long, b long").distinct()
 
 
-def near_pairs(xs: list[dict], ys: list[dict], num: int, den: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(bits, a, b, component of a, component of b) of pairs across components whose sizes and sketches allow a link, a being the lesser.
+def listed(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The rows' values; lists stay arrays, and null is the row's first list."""
+    for i in range(batch.num_rows):
+        row = [batch.column(c)[i] for c in columns]
+        lists = [getattr(x, "values", None) if pa.types.is_list(x.type) else x.as_py() for x in row]
+        yield tuple(lists[-2] if x is None else x for x in lists)
 
-    ``bits`` is how many bits the sketches differ in; longer ones are folded to one length per pair of lengths.
+
+def by_length(items: pa.StructArray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(sketches as a matrix of bytes, set_id, label, size) of the sets whose sketches have one length, length by length."""
+    ids, label, size, sketches = items.flatten()
+    ids, label, size, lengths = (np.asarray(x) for x in (ids, label, size, pc.binary_length(sketches)))
+    for width in np.unique(lengths):
+        at = np.flatnonzero(lengths == width)
+        flat = np.frombuffer(b"".join(sketches.take(pa.array(at)).to_pylist()), np.uint8)
+        yield flat.reshape(len(at), width), ids[at], label[at], size[at]
+
+
+def near(xs: pa.StructArray, ys: pa.StructArray, num: int, den: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bits, fits, sets of xs, sets of ys, their labels): how many bits the sketches differ in and whether sizes, bits and labels allow a link.
+
+    Longer sketches are folded to one length per pair of lengths.
     """
-    def by_length(items):
-        out: dict[int, list] = {}
-        for x in items:
-            out.setdefault(len(x["sketch"]), []).append(x)
-        return out
-
-    for n, some in by_length(xs).items():
-        for m, others in by_length(ys).items():
-            width = min(n, m)
-            a, b = (np.bitwise_xor.reduce(np.frombuffer(b"".join(x["sketch"] for x in s), np.uint8).reshape(len(s), -1, width), axis=1) for s in (some, others))
-            a, b = (np.ascontiguousarray(x).view(np.uint64) for x in (a, b))
-            apart = sum(np.bitwise_count(a[:, None, j] ^ b[None, :, j]).astype(np.int32) for j in range(a.shape[1]))
-            p, q = np.array([x["size"] for x in some]), np.array([y["size"] for y in others])
-            fits = (den - num) * (p[:, None] + q) >= (den + num) * apart
+    if pc.min(label := pa.concat_arrays([xs.flatten()[1], ys.flatten()[1]])).as_py() == pc.max(label).as_py():
+        return  # one component
+    mine, theirs = list(by_length(xs)), list(by_length(ys))
+    for x, one, l, p in mine:
+        for y, other, m, q in theirs:
+            width = min(x.shape[1], y.shape[1])
+            a, b = (np.ascontiguousarray(np.bitwise_xor.reduce(s.reshape(len(s), -1, width), axis=1)).view(np.uint64) for s in (x, y))
+            fits = l[:, None] != m
             fits &= den * np.minimum(p[:, None], q) >= num * np.maximum(p[:, None], q)
-            fits &= np.array([x["label"] for x in some])[:, None] != np.array([y["label"] for y in others])
-            for i, j in zip(*np.nonzero(fits)):
-                x, y = sorted(((some[i]["set_id"], some[i]["label"]), (others[j]["set_id"], others[j]["label"])))
-                yield int(apart[i, j]), x[0], y[0], x[1], y[1]
+            if fits.any():
+                apart = np.zeros(fits.shape, np.int32)
+                for j in range(a.shape[1]):
+                    apart += np.bitwise_count(a[:, None, j] ^ b[None, :, j])
+                fits &= (den - num) * (p[:, None] + q) >= (den + num) * apart
+                yield apart, fits, one, other, l, m
+
+
+def near_pairs(xs: pa.StructArray, ys: pa.StructArray, num: int, den: int) -> np.ndarray:
+    """Rows bits, a, b, component of a, component of b: the pairs across components whose sizes and sketches allow a link, a being the lesser."""
+    out = [np.zeros((5, 0), np.int64)]
+    for apart, fits, one, other, l, m in near(xs, ys, num, den):
+        i, j = np.nonzero(fits)
+        turned = one[i] > other[j]
+        sides = [np.where(turned, z, w) for w, z in ((one[i], other[j]), (other[j], one[i]), (l[i], m[j]), (m[j], l[i]))]
+        out.append(np.stack([apart[i, j], *sides]))
+    return np.concatenate(out, axis=1)
 
 
 def asked(proposals: DataFrame) -> DataFrame:
@@ -376,9 +416,8 @@ def similar_documents(docs: DataFrame, text: str = "text", k: int = 5, num: int
     brief = stage_table(brief.join(met.select("set_id").distinct(), "set_id"), "brief")
     star = stage_table(first_pairs(met), "star")
     several = met.filter("several")  # words of two sets have met
-    edges, turn = stage_table(verify(star, brief, docs, k, num, den), "edges"), 0
+    label, turn = components(verify(star, brief, docs, k, num, den)), 0
     while True:
-        label = components(edges)
         open_ = still_open(several, label)
         turn += 1
         # sets are held to sets of other components in their words, in an order that is new in each turn, for as long as that links many
@@ -386,20 +425,19 @@ def similar_documents(docs: DataFrame, text: str = "text", k: int = 5, num: int
         centre = open_.groupBy("sig").agg(F.min(F.struct(rank.alias("h"), F.col("set_id").alias("a"), F.col("label").alias("la"))).alias("c"))
         star = stage_table(asked(open_.join(centre, "sig").filter("label <> c.la").select("set_id", F.struct("c.h", "c.a").alias("c"))), "star")
         more = stage_table(verify(star, brief, docs, k, num, den), "edges")
-        edges = stage_table(edges.union(more), "edges")
+        label = merged(label, more)
         if more.count() * 10 <= star.count():
             break
     # whatever the stars left in different components meets directly: forests of near pairs first, for as long as these link many
-    left = stage_table(with_partner(still_open(several, components(edges)), brief, num, den), "left")
+    left = stage_table(with_partner(still_open(several, label), brief, num, den), "left")
     forest = True
     while True:
-        pairs = stage_table(across(still_open(left, components(edges)), brief, num, den, forest), "pairs")
+        pairs = stage_table(across(still_open(left, label), brief, num, den, forest), "pairs")
         more = stage_table(verify(pairs, brief, docs, k, num, den), "edges")
-        edges = stage_table(edges.union(more), "edges")
+        label = merged(label, more)
         if not forest:
             break
         forest = more.count() * 4 > pairs.count()
-    label = components(edges)
     known = sets.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     known = known.join(label.withColumnRenamed("id", "set_id"), "set_id", "left").filter("copies > 1 or label is not null")
     known = known.withColumn("label", F.coalesce("label", "set_id"))

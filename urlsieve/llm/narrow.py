@@ -33,20 +33,35 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, label) of the vertices of (a, b): the label is the component's least id.
 
     Each round takes the least label among neighbours and then that label's own label, so paths shrink fast. Sums are
-    map-side; every round's labels are written to the shared folder.
+    map-side; every round's labels are written to the shared folder, and broadcast while there are few.
     """
     both = stage_table(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stage_table(both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")), "labels")
+    vertices = labels.count()
+    few = F.broadcast if vertices <= NARROW_ROWS else lambda df: df
+    parts = max(8, vertices // 20_000)  # files follow the rows, not the session's partitions
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        low = labels.join(near, "id").select("id", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        low = stage_table(low.join(jump, "label").select("id", F.least("label", "far").alias("label"), "old"), "labels")
+        near = both.join(few(labels.withColumnRenamed("id", "b")), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        low = near.join(few(labels), "id").select("id", F.least("label", "near").alias("label"), F.col("label").alias("old"))
+        jump = few(labels.select(F.col("id").alias("label"), F.col("label").alias("far")))
+        low = stage_table(low.join(jump, "label").select("id", F.least("label", "far").alias("label"), "old").coalesce(parts), "labels")
         labels = low.select("id", "label")
-        if low.filter("label <> old").isEmpty():
+        if not low.filter("label <> old").count():
             return labels
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, label) after further edges (a, b): only the components that these join are looked at, as single vertices."""
+    ends = stage_table(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    known = stage_table(join_narrow(labels, ends, "id"), "known")
+    fresh = stage_table(join_narrow(ends, known.select("id"), "id", "left_anti").withColumn("label", F.col("id")), "fresh")
+    left, right = (known.union(fresh).select(F.col("id").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+    joined = join_narrow(join_narrow(edges, left, "a"), right, "b").filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    changed = components(joined).select(F.col("id").alias("label"), F.col("label").alias("least"))
+    placed = join_narrow(labels.union(fresh), changed, "label", "left")
+    return stage_table(placed.select("id", F.coalesce("least", "label").alias("label")), "labels")
+
+
 def most_frequent(counts: DataFrame, n: str, rows: int) -> DataFrame:
     """The rows with the greatest counts, at most ``rows`` of them: all whose count is at least some bound.
 
