@@ -69,3 +69,14 @@ def test_query(spark, sf_dir):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op2_repeated_strings(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
     assert [got[d.doc_id] for d in docs] == brute([d.text for d in docs], 400)
+
+
+def test_symbols_are_wide_and_exact():
+    assert [repeats.symbol_bytes(n) for n in (1, 9, 16, 397, 400)] == [1, 1, 2, 1, 50]
+    table, sizes, _ = repeats.columns_of([bytes(range(256)) * 4], repeats.symbol_bytes(400))
+    assert table.shape == (50, 20) and sizes.max() == 20  # rounds of a text of 1,024 bytes; 128 with words of 8 bytes
+    data = np.random.default_rng(2).integers(0, 3, 400).astype(np.uint8)
+    for unit in (1, 3, 8, 13, 50):
+        words = [data[i:i + unit].tobytes() for i in range(len(data) - unit + 1)]
+        codes = repeats.symbol_codes(data, unit).tolist()
+        assert len(codes) == len(words) and len(set(zip(codes, words))) == len(set(codes)) == len(set(words))
