@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import QUERIES
 from urlsieve.operators import boosting as B
 from urlsieve.sources import bundles
 
@@ -80,6 +81,39 @@ def test_same_model_for_any_partitions_and_margins_kept(data):
     assert ((margin > 0) == y).mean() > 0.85
 
 
+@pytest.mark.parametrize("share", (0.5, 0.03))
+def test_held_rows_and_scans_make_the_same_trees(spark, monkeypatch, share):
+    rng = np.random.default_rng(7)
+    x = np.column_stack((rng.integers(0, 9, 900), rng.normal(size=900), rng.gamma(2, 30, 900), np.zeros(900)))
+    y = (x[:, 1] + x[:, 0] / 9 + rng.normal(size=900) / 3 > np.quantile(x[:, 1] + x[:, 0] / 9, 1 - share)).astype(int)
+    rows = [(*[None if rng.random() < 0.05 else float(v) for v in r], int(c)) for r, c in zip(x, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, label int").repartition(3)
+    scans, real = [], B.node_sums
+    monkeypatch.setattr(B, "node_sums", lambda *a: scans.append(len(a[3])) or real(*a))
+    monkeypatch.setattr(B, "SLICE", 100)
+    held = B.fit_boosted(df, "abcd", rounds=B.REFRESH + 2, leaves=12, min_rows=4)
+    assert not scans
+    monkeypatch.setattr(B, "HELD_CELLS", 0)
+    scanned = B.fit_boosted(df, "abcd", rounds=B.REFRESH + 2, leaves=12, min_rows=4)
+    assert len(scans) >= len(scanned.trees) and max(t.leaves for t in held.trees) > 6
+    for s, t in zip(held.trees, scanned.trees, strict=True):
+        assert all(np.array_equal(getattr(s, n), getattr(t, n)) for n in ("feature", "bin", "left", "right", "value", "gain")) and s.depth == t.depth
+
+
+def test_query_has_all_rounds(spark, tmp_path, monkeypatch):
+    pages = spark.range(30).select(F.col("id").alias("page_id"), F.concat(F.lit("https://m.site"), F.col("id") % 7, F.lit(".example.com/en/"), "id").alias("url"))
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    seen, real = [], B.fit_boosted
+
+    def spy(*a, **k):
+        seen.append(real(*a, **k))
+        return seen[-1]
+
+    monkeypatch.setattr(B, "fit_boosted", spy)
+    row, = QUERIES["train_booster"](spark, str(tmp_path)).collect()
+    assert row.model == "gradient boosting" and [len(m.trees) for m in seen] == [300]
+
+
 def test_edges(spark, data):
     df, _, _ = data
     stump = B.fit_boosted(df.withColumn("a", F.lit(1.0)), ["a"], rounds=1)
